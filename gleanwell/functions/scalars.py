@@ -39,6 +39,11 @@ def as_fid(col: Column) -> Column:
     return F.coalesce(col.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+
+
 def shorten(text: Column, chars: int, ellipsis: bool = True) -> Column:
     head = F.left(text, F.lit(chars))
     if not ellipsis:

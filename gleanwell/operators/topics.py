@@ -8,10 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanwell.functions.scalars import shorten, title_case, words_of
+from gleanwell.functions.scalars import shorten, strip, title_case, words_of
 from gleanwell.operators.bounded import bounded
 from gleanwell.operators.clusters import cluster_averages, representative_records
 from gleanwell.operators.ranking import top_per_group
+from gleanwell.session import materialized
 
 # Stop words, sizes of the keyword lists and the theme table.
 STOP_WORDS = [
@@ -69,10 +70,9 @@ NAME_MAX_CHARS = 40
 
 def grams_of(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
     """Words of two or more characters without stop words, followed by their adjacent pairs."""
-    stops = F.array(*[F.lit(w) for w in stop_words])
     found = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
     return F.transform(
-        F.array(F.filter(found, lambda w: ~F.array_contains(stops, w))),
+        F.array(F.filter(found, lambda w: ~w.isin(stop_words))),
         lambda words: F.concat(words, _pairs(words)),
     )[0]
 
@@ -116,15 +116,14 @@ def vocabulary(
 
 
 def tfidf_keywords(
-    posts: DataFrame, stop_words: list[str] = STOP_WORDS, keywords: int = KEYWORDS,
-    size: int = VOCABULARY,
+    posts: DataFrame, terms: DataFrame, stop_words: list[str] = STOP_WORDS, keywords: int = KEYWORDS
 ) -> DataFrame:
     """Per cluster the terms with the highest summed weight: ``cluster_id, rank, term, score``.
 
-    Only occurrences of vocabulary terms leave a text: the vocabulary has at most ``size`` terms
-    per cluster and is small enough to copy to every task.
+    ``terms`` comes from ``vocabulary``. It has at most 100 terms per cluster, so it is copied
+    to every task, and only occurrences of these terms leave a text.
     """
-    terms = bounded(vocabulary(posts, stop_words, size), 1_000_000)
+    terms = bounded(terms, 1_000_000)
     hits = (
         posts.select(
             "cluster_id", "Hash", F.explode(grams_of(F.col("Text"), stop_words)).alias("term")
@@ -175,10 +174,10 @@ def common_words(
 
 def cluster_keywords(posts: DataFrame) -> DataFrame:
     """Weighted keywords; clusters without a shared vocabulary get plain word counts instead."""
-    weighted = tfidf_keywords(posts)
-    bare = posts.join(
-        bounded(weighted.select("cluster_id").distinct()), "cluster_id", "left_anti"
-    )
+    terms = materialized(vocabulary(posts))
+    weighted = tfidf_keywords(posts, terms)
+    covered = bounded(terms.select("cluster_id").distinct())
+    bare = posts.join(covered, "cluster_id", "left_anti")
     counts = counted_words(
         bare, STOP_WORDS, 3, KEYWORDS, FALLBACK_TEXTS, "cast_score", descending=True
     ).select("cluster_id", "rank", F.col("word").alias("term"), F.col("n").cast("double").alias("score"))
@@ -251,7 +250,7 @@ def naming_prompts(records: DataFrame, task: str = NAMING_TASK) -> DataFrame:
 
 def clean_name(reply: Column) -> Column:
     """First line without quotes, cut at the last blank within 40 characters."""
-    plain = F.trim(F.translate(F.trim(reply), "\"'", ""))
+    plain = strip(F.translate(strip(reply), "\"'", ""))
     line = F.substring_index(plain, "\n", 1)
     head = F.left(line, F.lit(NAME_MAX_CHARS))
     cut = F.when(F.instr(head, " ") > 0, F.regexp_replace(head, r"(?s) [^ ]*\z", "")).otherwise(head)

@@ -89,7 +89,7 @@ class Fixtures:
         key = F.col("vec_id")
         reactions, replies = (key % 23).cast("bigint"), (key % 7).cast("bigint")
         quality = F.round((key % 101) / 10, 2)
-        return self.table("embeddings").join(docs, "vec_id").select(
+        return spread_small_input(self.table("embeddings")).join(docs, "vec_id").select(
             key.cast("string").alias("Hash"),
             (key % 89).cast("string").alias("Fid"),
             "Text",
@@ -124,7 +124,8 @@ CTE = {
              CAST(date_diff('second', TIMESTAMP '2021-01-01', o.o_orderdate) AS VARCHAR) AS "Timestamp",
              CASE WHEN o.o_orderkey % 4 <> 0
                   THEN '0:' || CAST(o.o_orderkey - o.o_orderkey % 4 AS VARCHAR) END AS "ParentCastId"
-      FROM orders o JOIN documents d ON o.o_orderkey % (SELECT count(*) FROM documents) = d.doc_id)""",
+      FROM orders o JOIN (SELECT doc_id, text || '' AS text FROM documents) d
+        ON o.o_orderkey % (SELECT count(*) FROM documents) = d.doc_id)""",
     "reactions": """reactions AS (
       SELECT l_orderkey || '-' || l_linenumber AS "Hash", CAST(l_partkey AS VARCHAR) AS "Fid",
              '0:' || CAST(l_orderkey AS VARCHAR) AS "TargetCastId" FROM lineitem)""",
