@@ -1,6 +1,12 @@
 """Importing this module fills the catalogue."""
 
-from verification import queries_posts, queries_recommend, queries_topics, queries_users  # noqa: F401
+from verification import (  # noqa: F401
+    queries_models,
+    queries_posts,
+    queries_recommend,
+    queries_topics,
+    queries_users,
+)
 from verification.catalog import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
