@@ -102,10 +102,10 @@ def title_case(text: Column) -> Column:
     )
 
 
-def words_of(text: Column, min_letters: int) -> Column:
-    """Lower-cased words of at least so many Latin letters, with Unicode word edges."""
-    pattern = rf"(?U)\b[a-zA-Z]{{{min_letters},}}\b"
-    return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+def words_of(lower: Column, min_letters: int) -> Column:
+    """Words of at least so many Latin letters in lower-cased text, with Unicode word edges."""
+    pattern = rf"(?U)(?<![a-z0-9_])\b[a-z]{{{min_letters},}}+\b"
+    return F.regexp_extract_all(lower, F.lit(pattern), F.lit(0))
 
 
 def shuffled_by(parts: Sequence[Column | str]) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanwell.operators.ranking import exact_quantiles, top_k, top_per_group
+from gleanwell.session import materialized
 
 # Weights and caps of the content filter.
 AUTHOR_WEIGHT, REACTION_WEIGHT, REPLY_WEIGHT = 0.3, 0.3, 0.4
@@ -72,6 +73,7 @@ def content_stats(posts: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """One row: count, mean, sample deviation, extremes and quartiles of a column."""
+    df = materialized(df.select(column))
     quartiles = exact_quantiles(df, column, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     q = quartiles.select(F.struct("q25", "q50", "q75")).scalar()
     return df.agg(

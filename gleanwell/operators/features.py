@@ -49,47 +49,37 @@ def feature_posts(casts: DataFrame) -> DataFrame:
 
 
 def user_text_features(casts: DataFrame, recent: int = RECENT_TEXTS) -> DataFrame:
-    """Length, vocabulary and pattern features over each author's newest texts."""
+    """Length, vocabulary and pattern features over each author's newest texts.
+
+    One grouping of at most ``recent`` texts per author, each with its repeated words removed.
+    """
     newest = top_per_group(feature_posts(casts), ["fid"], newest_first(), recent)
     text = F.col("Text")
-    lower = F.lower(text)
+    lower = F.col("_lower")
     length = F.length(text)
 
     def share(test):
         return F.avg(test.cast("double"))
 
-    shape = newest.groupBy("fid").agg(
+    spelt = newest.withColumn("_lower", F.lower(text)).withColumn("_words", words_of(lower, 3))
+    own_words = spelt.withColumn("_own", F.array_distinct("_words"))
+    shape = own_words.groupBy("fid").agg(
         F.avg(length).alias("avg_length"),
         F.median(length).alias("median_length"),
         F.stddev_pop(length).alias("std_length"),
         F.min(length).cast("bigint").alias("min_length"),
         F.max(length).cast("bigint").alias("max_length"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_own")))).cast("bigint").alias("vocabulary_size"),
+        F.sum(F.size("_words")).alias("_n_words"),
         share(lower.rlike(r"(?U)\A\s*(?:gm|good morning)")).alias("gm_ratio"),
         share(text.contains("?")).alias("question_ratio"),
         share(lower.contains("http")).alias("url_ratio"),
-        share(text.rlike(r"[^\x00-\x7F]")).alias("emoji_ratio"),
+        share(F.octet_length(text) > length).alias("emoji_ratio"),
         share(rules.mentions_any(text, rules.FEATURE_SPAM)).alias("spam_ratio"),
         F.count(F.lit(1)).alias("post_count"),
     )
-    words = newest.select("fid", F.explode(words_of(text, 3)).alias("word"))
-    vocabulary = (
-        words.groupBy("fid", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("fid")
-        .agg(F.count(F.lit(1)).alias("vocabulary_size"), F.sum("n").alias("words"))
-    )
-    return shape.join(vocabulary, "fid", "left").select(
-        "fid",
-        *[
-            {
-                "vocabulary_size": F.coalesce("vocabulary_size", F.lit(0)),
-                "vocabulary_richness": F.coalesce(
-                    F.col("vocabulary_size") / F.col("words"), F.lit(0.0)
-                ),
-            }.get(c, F.col(c)).alias(c)
-            for c in TEXT_FEATURES
-        ],
-    )
+    richness = ratio(F.col("vocabulary_size"), F.col("_n_words"))
+    return shape.withColumn("vocabulary_richness", richness).select("fid", *TEXT_FEATURES)
 
 
 def user_temporal_features(casts: DataFrame, recent: int = RECENT_TIMES) -> DataFrame:

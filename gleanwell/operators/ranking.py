@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanwell.session import materialized
+
 IN_MEMORY_TOP = 10_000
 
 
@@ -111,10 +113,11 @@ def exact_quantiles(
     """One row with linearly interpolated quantiles, nulls ignored; names are the dict's keys.
 
     Values are counted first, then ranked slice by slice of the value range, so no task has to
-    hold all values. The slice table (at most ``slices`` + 1 rows) is what gets broadcast.
+    hold all values. The counts are written once, as the range and the ranks both read them. The
+    slice table (at most ``slices`` + 1 rows) is what gets broadcast.
     """
     value = F.col("_v")
-    counted = (
+    counted = materialized(
         df.select(F.col(column).cast("double").alias("_v"))
         .filter(value.isNotNull() & ~F.isnan(value))
         .groupBy("_v")

@@ -20,9 +20,9 @@ SEED = 42
 def user_activity(casts: DataFrame, min_posts: int = MIN_POSTS) -> DataFrame:
     """Activity figures of every author with enough countable posts."""
     text = F.col("Text")
-    lower = F.lower(text)
+    start = F.lower(F.left(text, F.lit(len("good morning"))))
     seconds = post_seconds(F.col("Timestamp"))
-    greeting = lower.startswith("gm") | lower.startswith("good morning")
+    greeting = start.startswith("gm") | start.startswith("good morning")
     return (
         casts.filter(F.length(text) > ACTIVITY_MIN_CHARS)
         .groupBy(F.col("Fid").alias("fid"))

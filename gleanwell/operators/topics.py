@@ -155,7 +155,7 @@ def counted_words(
     if first_texts is not None:
         order = F.col(text_order).desc_nulls_last() if descending else F.col(text_order).asc()
         posts = top_per_group(posts, ["cluster_id"], [order, F.col("Hash").asc()], first_texts)
-    words = posts.select("cluster_id", F.explode(words_of(F.col("Text"), min_letters)).alias("word"))
+    words = posts.select("cluster_id", F.explode(words_of(F.lower("Text"), min_letters)).alias("word"))
     counts = (
         words.filter(~F.col("word").isin(stop_words))
         .groupBy("cluster_id", "word")

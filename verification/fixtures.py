@@ -28,9 +28,9 @@ class Fixtures:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def casts(self) -> DataFrame:
-        docs = self.table("documents")
+        docs = spread_small_input(self.table("documents"))
         key = F.col("o_orderkey")
-        n_docs = docs.count()  # Parquet footers only
+        n_docs = self.table("documents").count()  # Parquet footers only
         seconds = F.timestamp_diff(
             "SECOND", F.expr("timestamp_ntz'2021-01-01 00:00:00'"), F.col("o_orderdate")
         )
@@ -85,11 +85,11 @@ class Fixtures:
 
     def clustered(self) -> DataFrame:
         """Posts with a vector and a given cluster."""
-        docs = self.table("documents").select(F.col("doc_id").alias("vec_id"), F.col("text").alias("Text"), "n_chars")
+        docs = spread_small_input(self.table("documents")).select(F.col("doc_id").alias("vec_id"), F.col("text").alias("Text"), "n_chars")
         key = F.col("vec_id")
         reactions, replies = (key % 23).cast("bigint"), (key % 7).cast("bigint")
         quality = F.round((key % 101) / 10, 2)
-        return spread_small_input(self.table("embeddings")).join(docs, "vec_id").select(
+        return self.table("embeddings").join(docs, "vec_id").select(
             key.cast("string").alias("Hash"),
             (key % 89).cast("string").alias("Fid"),
             "Text",
