@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanwell.operators.ranking import exact_quantiles, top_k, top_per_group
+from gleanwell.operators.skew import join_spread
 from gleanwell.session import materialized
 
 # Weights and caps of the content filter.
@@ -28,14 +29,14 @@ def one_row_per_fid(scores: DataFrame) -> DataFrame:
 
 
 def add_author_scores(posts: DataFrame, scores: DataFrame) -> DataFrame:
-    """Posts with their author's score, the trusted share of engagement and the post score."""
+    """Posts with their author's score, the trusted share of engagement and the post score.
+
+    The join is spread by post, so an author with very many posts is not gathered in one task.
+    """
     qr, qp = F.col("quality_reactions"), F.col("quality_replies")
     tr, tp = F.col("total_reactions"), F.col("total_replies")
-    joined = posts.join(
-        one_row_per_fid(scores).withColumnRenamed("fid", "_fid"),
-        F.col("Fid") == F.col("_fid"),
-        "left",
-    )
+    by_author = one_row_per_fid(scores).withColumnRenamed("fid", "Fid")
+    joined = join_spread(posts, by_author, "Fid", F.col("Hash"))
     return joined.select(
         *posts.columns,
         "quality_score",

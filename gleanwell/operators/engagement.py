@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import has_value, key_part
+from gleanwell.operators.skew import join_spread
 
 QUALITY_FROM = 7.0
 INCLUDED_FROM = 4.0
 REACTION_POINTS, REPLY_POINTS = 2, 5
-ACTOR_SALTS = 8
 
 
 def fids_scoring_at_least(scores: DataFrame, threshold: float) -> DataFrame:
@@ -46,26 +46,19 @@ def quality_count_per_target(
     target: str,
     total: str,
     quality: str,
-    salts: int = ACTOR_SALTS,
 ) -> DataFrame:
     """Rows per target hash, and how many of them come from quality authors.
 
-    One author may write a third of all rows, so the membership join is salted by target: the
-    id list (ids only) is repeated ``salts`` times and each author's rows spread over as many
-    tasks. The final count then combines on the map side.
+    One author may write a third of all rows, so the membership join is spread by target. The
+    count then combines on the map side.
     """
     keyed = df.filter(has_value(F.col(key))).select(
         key_part(F.col(key)).alias(target), F.col("Fid").alias("_fid")
     )
-    keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(target), F.lit(salts)).cast("int"))
-    members = (
-        quality_fids.select(F.col("fid").alias("_fid"))
-        .distinct()
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        .withColumn("_member", F.lit(True))
-    )
+    members = quality_fids.select(F.col("fid").alias("_fid")).distinct()
+    members = members.withColumn("_member", F.lit(True))
     return (
-        keyed.join(members, ["_fid", "_salt"], "left")
+        join_spread(keyed, members, "_fid", F.col(target))
         .groupBy(target)
         .agg(F.count(F.lit(1)).alias(total), F.count_if(F.col("_member")).alias(quality))
     )
@@ -118,7 +111,7 @@ def author_engagement(casts: DataFrame, reactions: DataFrame) -> DataFrame:
         .agg(F.count("Hash").alias("n"))
     )
     keys = casts.select(
-        F.col("Fid").alias("fid"), F.concat("Fid", F.lit(":"), "Hash").alias("TargetCastId")
+        F.col("fid").alias("fid"), F.concat("fid", F.lit(":"), "Hash").alias("TargetCastId")
     )
     return (
         pairs.join(keys, "TargetCastId")

@@ -9,6 +9,7 @@ from gleanwell.functions import rules
 from gleanwell.functions.scalars import has_value, post_seconds
 from gleanwell.operators import engagement
 from gleanwell.operators.ranking import top_k
+from gleanwell.operators.skew import join_spread
 from gleanwell.session import materialized
 
 # Cutoffs and caps the exports are defined by.
@@ -91,7 +92,8 @@ def quality_candidates(
         ((F.col("quality_reactions") >= 3) | (F.col("quality_replies") >= 2))
         & (F.col("total_replies") > 0)
     )
-    return engaged.join(included.select(F.col("fid").alias("Fid")), "Fid").select(*engaged.columns)
+    authors = included.select(F.col("fid").alias("Fid"))
+    return join_spread(engaged, authors, "Fid", F.col("Hash"), "inner").select(*engaged.columns)
 
 
 def export_quality_casts(

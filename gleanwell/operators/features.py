@@ -9,7 +9,7 @@ from gleanwell.functions import rules
 from gleanwell.functions.scalars import post_moment, post_seconds, ratio, words_of
 from gleanwell.operators.engagement import author_engagement
 from gleanwell.operators.ranking import newest_first, top_per_group
-from gleanwell.sources.tables import only_of
+from gleanwell.session import materialized
 
 # How many posts make an author active, and how many recent ones are looked at.
 MIN_POSTS = 10
@@ -48,6 +48,14 @@ def feature_posts(casts: DataFrame) -> DataFrame:
     )
 
 
+def post_sizes(casts: DataFrame) -> DataFrame:
+    """All that the features other than text need of a post: ids, time, text length."""
+    return casts.select(
+        F.col("Fid").alias("fid"), "Hash", F.length("Text").alias("chars"),
+        post_seconds(F.col("Timestamp")).alias("timestamp"),
+    )
+
+
 def user_text_features(casts: DataFrame, recent: int = RECENT_TEXTS) -> DataFrame:
     """Length, vocabulary and pattern features over each author's newest texts.
 
@@ -82,13 +90,13 @@ def user_text_features(casts: DataFrame, recent: int = RECENT_TEXTS) -> DataFram
     return shape.withColumn("vocabulary_richness", richness).select("fid", *TEXT_FEATURES)
 
 
-def user_temporal_features(casts: DataFrame, recent: int = RECENT_TIMES) -> DataFrame:
+def user_temporal_features(sizes: DataFrame, recent: int = RECENT_TIMES) -> DataFrame:
     """When each author posts, over their newest posts.
 
     Hours are collected in a bit set and days are counted where the sorted date changes, so the
-    whole feature set is one pass over the already sorted rows.
+    whole feature set is one pass over the already sorted rows. ``sizes`` comes from ``post_sizes``.
     """
-    slim = feature_posts(casts).select("fid", "Hash", "timestamp")
+    slim = sizes.filter(F.col("chars") > FEATURE_MIN_CHARS).select("fid", "Hash", "timestamp")
     newest = top_per_group(slim, ["fid"], newest_first(), recent)
     older = Window.partitionBy("fid").orderBy(*newest_first())
     moment = post_moment(F.col("timestamp"))
@@ -111,12 +119,16 @@ def user_temporal_features(casts: DataFrame, recent: int = RECENT_TIMES) -> Data
     )
 
 
-def user_engagement(casts: DataFrame, reactions: DataFrame) -> DataFrame:
+def user_engagement(sizes: DataFrame, reactions: DataFrame) -> DataFrame:
     """Reactors and reactions over all of an author's posts, per post with a countable text."""
-    posts = feature_posts(casts).groupBy("fid").agg(F.count(F.lit(1)).alias("texts"))
+    posts = (
+        sizes.filter(F.col("chars") > FEATURE_MIN_CHARS)
+        .groupBy("fid")
+        .agg(F.count(F.lit(1)).alias("texts"))
+    )
     total, unique = F.col("total_reactions"), F.col("unique_reactors")
     return (
-        posts.join(author_engagement(casts, reactions), "fid", "left")
+        posts.join(author_engagement(sizes, reactions), "fid", "left")
         .fillna(0, ["unique_reactors", "total_reactions"])
         .select(
             "fid",
@@ -129,16 +141,30 @@ def user_engagement(casts: DataFrame, reactions: DataFrame) -> DataFrame:
 
 
 def user_features(casts: DataFrame, reactions: DataFrame, min_posts: int = MIN_POSTS) -> DataFrame:
-    """All features of every active author that has a countable text."""
-    kept = only_of(casts, active_users(casts, min_posts), "Fid")
-    joined = (
-        user_text_features(kept)
-        .join(user_temporal_features(kept), "fid")
-        .join(user_engagement(kept, reactions), "fid")
+    """All features of every active author that has a countable text.
+
+    The texts are read twice: once for their lengths, which are written down for all features
+    but the text ones, and once for the newest texts. Authors are only joined one row each: each
+    task cuts an author to the newest posts before any exchange, however many posts there are.
+    """
+    sizes = materialized(post_sizes(casts))
+    active = (
+        sizes.filter(F.col("chars").isNotNull())
+        .groupBy("fid")
+        .agg(F.count(F.lit(1)).alias("posts"))
+        .filter(F.col("posts") >= min_posts)
+        .select("fid")
     )
-    return joined.select(
-        "fid", *[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in FEATURES]
+    joined = (
+        user_text_features(casts)
+        .join(user_temporal_features(sizes), "fid")
+        .join(user_engagement(sizes, reactions), "fid")
+        .join(active, "fid")
     )
+    filled = [
+        F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in FEATURES
+    ]
+    return joined.select("fid", *filled)
 
 
 def feature_stats(features: DataFrame, columns: list[str] | None = None) -> DataFrame:

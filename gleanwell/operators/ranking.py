@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from gleanwell.session import materialized
 
 IN_MEMORY_TOP = 10_000
+GROUP_LIMIT = 1_000  # Spark's default for limits on row_number
+SLICES = 64
 
 
 def newest_first(seconds: str = "timestamp", tie: str = "Hash") -> list[Column]:
@@ -19,8 +21,17 @@ def newest_first(seconds: str = "timestamp", tie: str = "Hash") -> list[Column]:
 def top_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None
 ) -> DataFrame:
-    """The first n rows of every group. Spark cuts each group to n rows before the shuffle."""
+    """The first n rows of every group.
+
+    Up to ``GROUP_LIMIT`` rows, Spark cuts each group in every task before the shuffle. Beyond
+    that it does not, so a group is first cut in slices, and only what is left of it meets.
+    """
     name = rank or "_rank"
+    if n > GROUP_LIMIT:
+        keys = F.xxhash64(*df.columns)
+        slices = df.withColumn("_part", F.pmod(keys, F.lit(SLICES)))
+        inner = Window.partitionBy(*group, "_part").orderBy(*order)
+        df = slices.withColumn(name, F.row_number().over(inner)).filter(F.col(name) <= n).drop("_part", name)
     window = Window.partitionBy(*group).orderBy(*order)
     ranked = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
     return ranked if rank else ranked.drop(name)
@@ -70,9 +81,7 @@ def kth_pair(df: DataFrame, score: str, tie: str, k: int) -> DataFrame:
     )
     inside = slim.join(F.broadcast(hit), F.col("_step").eqNullSafe(F.col("_hit")))
     order = [F.col("_score").desc_nulls_last(), F.col("_tie").asc()]
-    sliced = inside.withColumn("_slice", F.pmod(F.xxhash64("_tie"), F.lit(64)))
-    first = top_per_group(sliced, ["_slice"], order, k)
-    ranked = first.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
+    ranked = top_per_group(inside, ["_step"], order, k, rank="_rank")
     found = ranked.filter(F.col("_rank") == F.col("_need")).select("_score", "_tie")
     return found.agg(
         F.first("_score").alias("_score"),

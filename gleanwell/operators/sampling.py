@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import post_moment, post_seconds, shuffled_by
+from gleanwell.operators.bounded import bounded
 from gleanwell.operators.features import ACTIVITY_MIN_CHARS, MIN_POSTS
 from gleanwell.operators.ranking import exact_quantiles, newest_first, top_k, top_per_group
 
@@ -105,12 +106,15 @@ def sampled_users(
 def users_to_label(
     casts: DataFrame, activity: DataFrame, sampled: DataFrame, posts_shown: int = POSTS_SHOWN
 ) -> DataFrame:
-    """The sampled authors with their figures and newest posts, ready for labelling."""
+    """The sampled authors with their figures and newest posts, ready for labelling.
+
+    The sample's ids are copied to every task, so only posts of sampled authors are exchanged.
+    """
     posts = casts.filter(F.length("Text") > ACTIVITY_MIN_CHARS).select(
         F.col("Fid").alias("fid"), "Hash", "Text",
         post_seconds(F.col("Timestamp")).alias("timestamp"),
     )
-    of_sampled = posts.join(sampled.select("fid"), "fid", "left_semi")
+    of_sampled = posts.join(bounded(sampled.select("fid"), POPULATION_CAP), "fid", "left_semi")
     newest = top_per_group(of_sampled, ["fid"], newest_first(), posts_shown, rank="pos")
     collected = newest.groupBy("fid").agg(
         F.transform(

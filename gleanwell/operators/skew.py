@@ -1,0 +1,23 @@
+"""Joins in which one key may hold a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 8
+
+
+def join_spread(
+    rows: DataFrame, lookup: DataFrame, key: str, spread_by: Column, how: str = "left",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join ``rows`` to a narrow ``lookup`` with one row per key, whatever the key counts are.
+
+    The rows of a key are spread over ``salts`` tasks by the hash of ``spread_by``, and the
+    lookup is repeated that often. Later steps then start from spread rows, so their own partial
+    work (counts, first-n cuts) happens before rows of one key meet again.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")

@@ -203,13 +203,15 @@ def keyword_lists(keywords: DataFrame) -> DataFrame:
 def rule_name(top_words: Column) -> Column:
     """A name from the first ten keywords: a theme, two long words, one word, or a default."""
 
-    def hits(words: list[str]) -> Column:
-        pattern = "|".join(words)
-        return F.size(F.filter(top_words, lambda w: F.lower(w).rlike(pattern)))
+    table = F.array(
+        *[F.struct(F.lit(name).alias("name"), F.lit("|".join(words)).alias("words")) for name, words in THEMES]
+    )
+
+    def fits(theme: Column) -> Column:
+        hits = F.filter(top_words, lambda w: F.regexp_like(F.lower(w), theme["words"]))
+        return F.size(hits) >= THEME_MATCHES
 
-    themes = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, words in THEMES:
-        themes = themes.when(hits(words) >= THEME_MATCHES, F.lit(name))
+    theme = F.get(F.filter(table, fits), F.lit(0))["name"]
     empty = F.array(*[F.lit(w) for w in EMPTY_WORDS])
     long_words = F.filter(
         top_words,
@@ -220,7 +222,7 @@ def rule_name(top_words: Column) -> Column:
         F.concat_ws(" ", title_case(F.get(long_words, F.lit(0))), title_case(F.get(long_words, F.lit(1)))),
     )
     one = F.when(F.size(top_words) >= 1, F.concat(title_case(F.get(top_words, F.lit(0))), F.lit(" Topics")))
-    return F.coalesce(themes, two, one, F.lit("Mixed Topics"))
+    return F.coalesce(theme, two, one, F.lit("Mixed Topics"))
 
 
 NAMING_TASK = (

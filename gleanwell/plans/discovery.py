@@ -21,8 +21,7 @@ def with_vectors(posts: DataFrame, encoder: Encoder | None, prefix: str) -> Data
     """Posts with ``features``: the encoder's vectors, or hashed words where there is none."""
     if encoder is None:
         return vectors.hashed_vectors(posts)
-    encoded = vectors.encoded_vectors(posts, encoder, prefix=prefix)
-    return vectors.as_features(posts.join(encoded, "Hash")).drop("embedding")
+    return vectors.as_features(vectors.encoded_vectors(posts, encoder, prefix=prefix)).drop("embedding")
 
 
 def cluster_posts(
@@ -79,7 +78,7 @@ def embed_export(exported: DataFrame, encoder: Encoder, out: str) -> DataFrame:
     """The embedding table of a loose export, with fixed column types."""
     keyed = exported.filter(F.col("Text").isNotNull() & (F.col("Text") != ""))
     encoded = vectors.encoded_vectors(keyed, encoder, prefix=vectors.EARLY_PREFIX)
-    table = keyed.join(encoded, "Hash").select(
+    table = encoded.select(
         hash_hex(F.col("Hash")).alias("hash_hex"), as_fid(F.col("Fid")).alias("fid"),
         F.col("Text").alias("text"), "embedding", "reaction_count", "reply_count",
     )

@@ -88,7 +88,7 @@ def only_of(df: DataFrame, ids: DataFrame, column: str, id_column: str = "fid")
 def spread_small_input(df: DataFrame) -> DataFrame:
     """A table in a few small files is read by as few tasks; hand its rows to all cores.
 
-    Tables with at least one file per core are left alone.
+    Scans with at least one task per core are left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

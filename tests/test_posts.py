@@ -77,21 +77,21 @@ def test_features_of_hand_made_author(spark):
     assert (row.gm_ratio, row.question_ratio, row.url_ratio, row.emoji_ratio, row.spam_ratio) == (0.2,) * 5
     words = ["friends", "why", "though", "see", "http", "bien", "free", "claim"]
     assert row.vocabulary_size == len(words) and row.vocabulary_richness == 1
-    times = features.user_temporal_features(posts).first()
+    times = features.user_temporal_features(features.post_sizes(posts)).first()
     assert (times.active_hours, times.active_days, times.posting_regularity) == (5, 1, 0)
     assert times.avg_posts_per_day == 5
 
 
 def test_one_post_author_has_default_times(spark):
     posts = casts(spark, [("h", "1", "a long text", None, "86400", None)])
-    row = features.user_temporal_features(posts).first()
+    row = features.user_temporal_features(features.post_sizes(posts)).first()
     assert (row.posting_regularity, row.active_hours, row.active_days, row.avg_posts_per_day) == (0, 1, 1, 1)
 
 
 def test_only_the_newest_posts_count(spark):
     posts = casts(spark, [(f"h{i:03d}", "1", "old text" if i < 5 else "newer text", None, str(i), None) for i in range(12)])
     assert features.user_text_features(posts, recent=7).first().min_length == len("newer text")
-    assert features.user_temporal_features(posts, recent=2).first().avg_posts_per_day == 2
+    assert features.user_temporal_features(features.post_sizes(posts), recent=2).first().avg_posts_per_day == 2
 
 
 def test_author_without_countable_text_vanishes(spark):

@@ -6,6 +6,8 @@ Every view covers its whole source table and whole texts.
 
 from __future__ import annotations
 
+from functools import lru_cache, wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +22,29 @@ SESSION_ANSWERS = 7
 N_CLUSTERS = 10
 
 
+def planned_once(build):
+    name = f"_{build.__name__}"
+
+    @wraps(build)
+    def view(self):
+        if name not in self.__dict__:
+            self.__dict__[name] = build(self)
+        return self.__dict__[name]
+
+    return view
+
+
 class Fixtures:
+    """One set of tables. Each view is planned once, however many operators of a query use it."""
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.table = lru_cache(maxsize=None)(self._table)
 
-    def table(self, name: str) -> DataFrame:
+    def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @planned_once
     def casts(self) -> DataFrame:
         docs = spread_small_input(self.table("documents"))
         key = F.col("o_orderkey")
@@ -34,7 +52,7 @@ class Fixtures:
         seconds = F.timestamp_diff(
             "SECOND", F.expr("timestamp_ntz'2021-01-01 00:00:00'"), F.col("o_orderdate")
         )
-        posts = self.table("orders").select(
+        posts = spread_small_input(self.table("orders")).select(
             key.cast("string").alias("Hash"),
             F.col("o_custkey").cast("string").alias("Fid"),
             seconds.cast("string").alias("Timestamp"),
@@ -43,19 +61,21 @@ class Fixtures:
             ),
             (key % n_docs).alias("doc_id"),
         )
-        return spread_small_input(posts).join(docs.select("doc_id", F.col("text").alias("Text")), "doc_id").select(
+        return posts.join(docs.select("doc_id", F.col("text").alias("Text")), "doc_id").select(
             "Hash", "Fid", "Text", F.lit(None).cast("string").alias("Embeds"), "Timestamp",
             "ParentCastId",
         )
 
+    @planned_once
     def reactions(self) -> DataFrame:
         """Reactions keyed by hash only: the author part is a placeholder."""
-        return self.table("lineitem").select(
+        return spread_small_input(self.table("lineitem")).select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("Hash"),
             F.col("l_partkey").cast("string").alias("Fid"),
             F.concat(F.lit("0:"), F.col("l_orderkey").cast("string")).alias("TargetCastId"),
         )
 
+    @planned_once
     def exact_reactions(self) -> DataFrame:
         """Reactions keyed by the post's real ``fid:hash``."""
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
@@ -65,6 +85,7 @@ class Fixtures:
             F.concat_ws(":", "o_custkey", "l_orderkey").alias("TargetCastId"),
         )
 
+    @planned_once
     def scores(self) -> DataFrame:
         from gleanwell.functions.scalars import clip, is_quality_user, quality_category
 
@@ -76,6 +97,7 @@ class Fixtures:
             quality_category(score).alias("quality_category"),
         )
 
+    @planned_once
     def labeled(self) -> DataFrame:
         raw = F.col("quality") * 8 + 2 - F.col("toxic") * 2
         return self.table("labels").select(
@@ -83,6 +105,7 @@ class Fixtures:
             F.least(F.lit(10), F.greatest(F.lit(0), raw)).cast("double").alias("quality_score"),
         )
 
+    @planned_once
     def clustered(self) -> DataFrame:
         """Posts with a vector and a given cluster."""
         docs = spread_small_input(self.table("documents")).select(F.col("doc_id").alias("vec_id"), F.col("text").alias("Text"), "n_chars")
@@ -101,6 +124,7 @@ class Fixtures:
             F.round(quality * 0.3 + reactions * 0.3 + replies * 0.4, 4).alias("cast_score"),
         )
 
+    @planned_once
     def feedback(self) -> DataFrame:
         """Clicks as likes and errors as dislikes, cut into sessions of at most seven answers."""
         answers = self.table("events").filter(F.col("event_type").isin("click", "error"))
