@@ -26,6 +26,7 @@ MAX_QUESTIONS, STRONG_AFTER, STRONG_RATIO = 7, 4, 3
 POSTS_PER_CLUSTER, RECOMMENDATIONS = 3, 10
 LIKED_POINTS, DISLIKED_FACTOR = 2.0, 0.5
 SUMMARY_WORDS, WORDS_PER_CLUSTER = 10, 5
+SAMPLE_CHARS = 150
 
 
 def sessions_from(
@@ -123,8 +124,14 @@ def next_post(
     clusters. Draws among candidates follow a hash of the session, so they can be repeated.
     Sessions that have seen every post give no row.
     """
+    posts = F.transform(
+        "representatives",
+        lambda p, i: F.struct(
+            F.col("cluster_id"), i.alias("post_idx"), p["hash"].alias("hash"), _appeal(p).alias("appeal")
+        ),
+    )
     pages = book(
-        clusters.select("cluster_id", "name", "size", "avg_quality_score", "representatives"),
+        clusters.select("cluster_id", "name", "size", "avg_quality_score", posts.alias("posts")),
         "cluster_id",
     )
     asked = F.size("answers")
@@ -166,17 +173,8 @@ def next_post(
     first_id = F.when(asked < 3, F.element_at("_book", 1)["cluster_id"])
     chosen = F.when(asked == 0, biggest).otherwise(F.coalesce(drawn, first_id))
 
-    def posts_of(c: Column) -> Column:
-        return F.transform(
-            c["representatives"],
-            lambda p, i: F.struct(
-                c["cluster_id"].alias("cluster_id"), i.alias("post_idx"), p["hash"].alias("hash"),
-                _appeal(p).alias("appeal"),
-            ),
-        )
-
     unseen = F.filter(
-        F.flatten(F.transform("_book", posts_of)),
+        F.flatten(F.transform("_book", lambda c: c["posts"])),
         lambda p: ~F.exists(
             "shown", lambda s: (s["cluster_id"] == p["cluster_id"]) & (s["post_idx"] == p["post_idx"])
         ),
@@ -199,21 +197,19 @@ def recommended_posts(
 ) -> DataFrame:
     """Up to ``n`` posts per session from its heaviest clusters, at most three from each.
 
-    Rows: keys, ``position`` and the post with its cluster's id, theme and keywords.
+    Rows: keys, ``position`` and the post with its cluster's id, theme and keywords. The best
+    three of each cluster are chosen once; sessions only put the clusters in order.
     """
-    pages = book(clusters.select("cluster_id", "name", "top_words", "representatives"), "cluster_id")
-
-    def best_of(c: Column) -> Column:
-        listed = F.transform(
-            c["representatives"],
-            lambda p, i: F.struct(
-                i.alias("idx"), c["cluster_id"].alias("cluster_id"), c["name"].alias("cluster_theme"),
-                F.slice(c["top_words"], 1, WORDS_PER_CLUSTER).alias("cluster_keywords"),
-                p.alias("post"), _appeal(p).alias("appeal"),
-            ),
-        )
-        return F.slice(_by(listed, lambda p: p["appeal"], lambda p: p["idx"]), 1, POSTS_PER_CLUSTER)
-
+    listed = F.transform(
+        "representatives",
+        lambda p, i: F.struct(
+            i.alias("idx"), F.col("cluster_id"), F.col("name").alias("cluster_theme"),
+            F.slice("top_words", 1, WORDS_PER_CLUSTER).alias("cluster_keywords"),
+            p.alias("post"), _appeal(p).alias("appeal"),
+        ),
+    )
+    best = F.slice(_by(listed, lambda p: p["appeal"], lambda p: p["idx"]), 1, POSTS_PER_CLUSTER)
+    pages = book(clusters.select("cluster_id", best.alias("best")), "cluster_id")
     heavy = _by(
         F.filter(
             F.zip_with("weights", "_book", lambda w, c: F.struct(w.alias("weight"), c.alias("c"))),
@@ -221,7 +217,7 @@ def recommended_posts(
         ),
         lambda x: x["weight"], lambda x: x["c"]["cluster_id"],
     )
-    posts = F.slice(F.flatten(F.transform(heavy, lambda x: best_of(x["c"]))), 1, n)
+    posts = F.slice(F.flatten(F.transform(heavy, lambda x: x["c"]["best"])), 1, n)
     return (
         weighted.withColumn("_book", pages)
         .select(*keys, F.posexplode(posts).alias("position", "p"))
@@ -309,7 +305,8 @@ def users_to_follow(
         clusters.select(
             "cluster_id", "name", F.posexplode("representatives").alias("idx", "post")
         ).select(
-            "cluster_id", "name", "idx", "post.fid", "post.text", "post.author_quality"
+            "cluster_id", "name", "idx", "post.fid", "post.author_quality",
+            shorten(F.col("post.text"), SAMPLE_CHARS, ellipsis=False).alias("text"),
         ),
         1_000_000,
     )
@@ -332,7 +329,7 @@ def users_to_follow(
     ]
     return top_per_group(authors, keys, order, n, rank="rank").select(
         *keys, "rank", "fid", "score", F.col("first.author_quality").alias("quality_score"),
-        "themes", shorten(F.col("first.text"), 150, ellipsis=False).alias("sample_post"),
+        "themes", F.col("first.text").alias("sample_post"),
     )
 
 
