@@ -17,6 +17,21 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secret spans of every document, with base counts and digest."""
+    from gleanwell.llm.secret_scan import document_secrets
+
+    return document_secrets(table(spark, folder, "documents"))
+
+
+def op5_unigram_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram token counts of every document."""
+    from gleanwell.llm.unigram import piece_vocabulary, token_counts
+
+    vocabulary = piece_vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    return token_counts(table(spark, folder, "documents"), vocabulary)
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     from gleanwell.llm import simhash
@@ -33,6 +48,8 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_secrets": op2_secrets,
+    "op5_unigram_counts": op5_unigram_counts,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
 }
