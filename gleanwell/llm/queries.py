@@ -17,6 +17,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies and words that the mix of all sources takes of every document."""
+    from gleanwell.llm.mixing import copies
+
+    return copies(table(spark, folder, "documents")).drop("draw")
+
+
 def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secret spans of every document, with base counts and digest."""
     from gleanwell.llm.secret_scan import document_secrets
@@ -48,6 +55,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixture": op1_mixture,
     "op2_secrets": op2_secrets,
     "op5_unigram_counts": op5_unigram_counts,
     "op9_simhash": op9_simhash,
