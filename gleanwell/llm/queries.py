@@ -39,6 +39,13 @@ def op5_unigram_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), vocabulary)
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    from gleanwell.llm.warc import archive, page_summary
+
+    return page_summary(spark, archive(table(spark, folder, "pages")))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     from gleanwell.llm import simhash
@@ -58,7 +65,19 @@ QUERIES = {
     "op1_mixture": op1_mixture,
     "op2_secrets": op2_secrets,
     "op5_unigram_counts": op5_unigram_counts,
+    "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_warc": """
+        WITH body AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        record AS (
+            SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+                   min(page_id) OVER (PARTITION BY html) AS least
+            FROM body)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> least THEN least END AS refers_to
+        FROM record""",
+}
