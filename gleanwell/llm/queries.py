@@ -39,6 +39,13 @@ def op5_unigram_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), vocabulary)
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of every document, the base rules and the learned list's verdict."""
+    from gleanwell.llm.rule_lists import quality_table
+
+    return quality_table(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     from gleanwell.llm.warc import archive, page_summary
@@ -65,6 +72,7 @@ QUERIES = {
     "op1_mixture": op1_mixture,
     "op2_secrets": op2_secrets,
     "op5_unigram_counts": op5_unigram_counts,
+    "op6_quality_rules": op6_quality_rules,
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
