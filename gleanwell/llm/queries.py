@@ -31,6 +31,13 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return document_secrets(table(spark, folder, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark item found in a document."""
+    from gleanwell.llm.decontaminate import leaks
+
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_unigram_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Unigram token counts of every document."""
     from gleanwell.llm.unigram import piece_vocabulary, token_counts
@@ -71,6 +78,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_mixture": op1_mixture,
     "op2_secrets": op2_secrets,
+    "op3_decontamination": op3_decontamination,
     "op5_unigram_counts": op5_unigram_counts,
     "op6_quality_rules": op6_quality_rules,
     "op8_warc": op8_warc,
