@@ -140,7 +140,7 @@ class ItemIndex:
                 leaks[text, i] = max(leaks.get((text, i), ()), (float(scores[i]), *shares))
 
 
-def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[ItemIndex]:
+def indexes(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> Iterator[ItemIndex]:
     """The index in shards of at most ``SHARD_BYTES`` of item text (or one item), one at a time.
 
     How many items hold a term is counted by Spark over all shards. Null and empty items are left
@@ -157,7 +157,7 @@ def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text")
 
     slim = benchmark.select(
         F.monotonically_increasing_id().alias("row"), F.col(item_id).cast("long").alias("item_id"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.coalesce(F.col(item_text), F.lit("")).alias("text"),
     )
     split = saved(slim.mapInArrow(terms, "row long, item_id long, text string, n long, terms array<string>").filter("n > 0"), "items")
     total = split.agg(F.count(F.lit(1)), F.avg("n"), F.sum(F.octet_length("text"))).first()

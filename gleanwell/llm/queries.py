@@ -53,6 +53,13 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_table(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without its repeated windows."""
+    from gleanwell.llm.repeats import without_repeats
+
+    return without_repeats(table(spark, folder, "documents"))
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     from gleanwell.llm.warc import archive, page_summary
@@ -81,6 +88,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op5_unigram_counts": op5_unigram_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op7_repeats": op7_repeats,
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
