@@ -38,6 +38,13 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document from the text and the metadata view."""
+    from gleanwell.llm.cotraining import co_train
+
+    return co_train(table(spark, folder, "documents"), table(spark, folder, "labels")).scored
+
+
 def op5_unigram_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Unigram token counts of every document."""
     from gleanwell.llm.unigram import piece_vocabulary, token_counts
@@ -86,6 +93,7 @@ QUERIES = {
     "op1_mixture": op1_mixture,
     "op2_secrets": op2_secrets,
     "op3_decontamination": op3_decontamination,
+    "op4_cotraining": op4_cotraining,
     "op5_unigram_counts": op5_unigram_counts,
     "op6_quality_rules": op6_quality_rules,
     "op7_repeats": op7_repeats,
