@@ -124,7 +124,7 @@ class DecisionList:
             holds = F.lit(True)
             for name, sign, cut in rule:
                 holds = holds & (values[name] >= cut if sign == ">=" else values[name] < cut)
-            out = (out or F).when(holds, number)
+            out = F.when(holds, number) if out is None else out.when(holds, number)
         return out.otherwise(F.lit(None)) if self.rules else F.lit(None).cast("int")
 
     def __str__(self) -> str:
