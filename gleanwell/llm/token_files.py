@@ -8,6 +8,8 @@ id, so the files in order hold the corpus in ascending document order.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import uuid
 import zlib
@@ -24,46 +26,74 @@ from gleanwell.llm.elias_fano import EliasFano, encode
 MAGIC = b"TOKENS01"
 HEAD = "<8sB7xQQQq"  # magic, id bytes, documents, ids, documents with no id, smallest id
 FILE_TEXT = 64 << 20  # bytes of text a file is cut for
-CACHE = 400_000  # words a task keeps the ids of
+CACHE = 300_000  # words, and pieces of words, of one generation that a worker keeps the ids of
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")  # words whose letters all are Latin-1 and composed
+LETTERS, DIGITS = "a-zß-öø-ÿ", "0-9"  # what \p{L} and \p{N} are in such a word, in lower case
 
 
-class WordIds(dict):
-    """The little-endian ids of a word, as the tokenizer gives them; forgets all when full."""
+class Remembered(dict):
+    """Values by key, each computed once while it is in use: two generations, the older one goes."""
+
+    def __init__(self, compute: Callable):
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte: itself if it is visible, else the next from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+class WordIds:
+    """The little-endian ids of single words, for tokenizers that drop white space.
+
+    Such a tokenizer cuts a text at white space first and never looks across it, so the ids of a
+    text are those of its words in order. Words recur, and so do the pieces that the tokenizer's
+    pattern cuts them into, which go to its model one by one. Words with other than Latin-1
+    letters, or with what may be a special token, are encoded as a whole.
+    """
 
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind = f"<u{width}"
+        self.tokenizer, self.kind = Tokenizer.from_file(path), f"<u{width}"
+        pattern = first_split(path)["pattern"]["Regex"]
+        self.cut = re.compile(pattern.replace("\\p{L}", LETTERS).replace("\\p{N}", DIGITS))
+        self.letters = byte_letters()
+        self.pieces = Remembered(self.piece)
+        self.words = Remembered(self.word)
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > CACHE:
-            self.clear()
-        new = list(words)
-        coded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.update((w, np.array(c.ids, self.kind).tobytes()) for w, c in zip(new, coded))
+    def piece(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.kind).tobytes()
 
+    def word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if "<|" in text or not PLAIN.fullmatch(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return b"".join(map(self.pieces.__getitem__, self.cut.findall(text.lower())))
 
-def word_encoder(path: str, end_id: int, width: int) -> Callable[[list[bytes]], list[bytes]]:
-    """Encodes texts word by word. For tokenizers that drop white space and split at it.
 
-    Such a tokenizer never joins or looks across white space, so the ids of a text are those of
-    its words in order; words recur, and each is encoded once per task.
-    """
-    known = WordIds(path, width)
-    end = np.array([end_id], known.kind).tobytes()
+_WORDS: dict[tuple[str, int], WordIds] = {}  # of this worker process, for all its tasks
 
-    def run(texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = set().union(*split).difference(known) if split else set()
-        if new:
-            if len(known) + len(new) > CACHE:
-                new = set().union(*split)
-            known.learn(new)
-        get = known.__getitem__
-        return [b"".join(map(get, words)) + end for words in split]
 
-    return run
+def word_encoder(path: str, end_id: int, width: int) -> Callable[[list[bytes]], list[bytes]]:
+    """Encodes texts word by word; see ``WordIds``."""
+    known = _WORDS.setdefault((path, width), None) or WordIds(path, width)
+    _WORDS[path, width] = known
+    get, end = known.words.__getitem__, np.array([end_id], known.kind).tobytes()
+    return lambda texts: [b"".join(map(get, t.split())) + end for t in texts]
 
 
 def text_encoder(path: str, end_id: int, width: int) -> Callable[[list[bytes]], list[bytes]]:
@@ -80,21 +110,30 @@ def text_encoder(path: str, end_id: int, width: int) -> Callable[[list[bytes]],
     return run
 
 
-def splits_at_spaces(path: str) -> bool:
-    """True if the tokenizer file drops white space and never looks across it."""
-    import json
+def first_split(path: str) -> dict:
+    """The first pre-tokenizer of a tokenizer file."""
+    with open(path, encoding="utf-8") as file:
+        step = json.load(file).get("pre_tokenizer") or {}
+    return step.get("pretokenizers", [step])[0]
+
 
+def splits_at_spaces(path: str) -> bool:
+    """True if the file drops white space, looks at lower-cased single words only and is a BPE
+    over bytes, which is what ``WordIds`` needs."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
-    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [spec.get("pre_tokenizer") or {}])
-    first = steps[0] if steps else {}
-    drops = first.get("type") == "Split" and first.get("invert") and first.get("behavior") == "Removed"
-    normal = {n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])}
-    plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
-    no_space = all(" " not in t["content"] for t in spec["added_tokens"])
-    pattern = (first.get("pattern") or {}).get("Regex", " ")
-    class_only = pattern.endswith("[^\\s\\p{L}\\p{N}]+") and " " not in pattern
-    return bool(drops and class_only and plain and no_space and normal <= {"NFC", "Replace", "Lowercase"})
+    first, pattern = first_split(path), first_split(path).get("pattern", {}).get("Regex", " ")
+    steps = [s["type"] for s in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    special = all(
+        t["content"].startswith("<|") and " " not in t["content"] and not (t["lstrip"] or t["rstrip"] or t["single_word"])
+        for t in spec["added_tokens"]
+    )
+    return (
+        bool(first.get("invert")) and first.get("behavior") == "Removed" and " " not in pattern
+        and pattern.endswith("[^\\s\\p{L}\\p{N}]+") and steps == ["Split", "ByteLevel"]
+        and normal == ["NFC", "Replace", "Lowercase"] and spec["model"]["type"] == "BPE" and special
+    )
 
 
 def write_tokens(
