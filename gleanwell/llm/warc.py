@@ -313,6 +313,18 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
+def load(spark: SparkSession, folder: str, payload: str = "content") -> DataFrame:
+    """The records of a folder, as one frame that may be filtered in several ways.
+
+    Spark keeps the predicates it pushed last with the relation and reuses them where a later plan
+    pushes none. The test for a type, which every record has, makes every plan push afresh; a
+    frame from ``spark.read`` itself should be loaded anew for each use.
+    """
+    register(spark)
+    table = spark.read.format("warc").option("payload", payload).load(folder)
+    return table.filter(F.col("record_type").isNotNull())
+
+
 # ---------------------------------------------------------------- pages to archives and back
 
 
@@ -355,10 +367,8 @@ def page_summary(spark: SparkSession, folder: str) -> DataFrame:
 
     Responses are decoded and their digests computed anew; revisits are read by headers alone.
     """
-    register(spark)
-    read = spark.read.format("warc")
-    full = read.option("payload", "digest").load(folder).filter(F.col("record_type") == "response")
-    light = spark.read.format("warc").option("payload", "none").load(folder).filter(F.col("record_type") == "revisit")
+    full = load(spark, folder, "digest").filter(F.col("record_type") == "response")
+    light = load(spark, folder, "none").filter(F.col("record_type") == "revisit")
     number = lambda c: F.substring(c, 10, 30).try_cast("long")
     return full.unionByName(light).select(
         number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",

@@ -1,0 +1,51 @@
+import hashlib
+import re
+
+from helpers import awkward_rows, clashing, table
+
+from gleanwell.llm import secret_scan
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+KEY = "kD93jLw0aPq7Zx2VbN5mTr8Y"
+EXTRA = [
+    "PassWord: 'abc.def=ghi-jkl' then secret=short api-key = x", "AKIAABCDEFGHIJKLMN and AKIA1234", "AKIAAKIA" * 3,
+    "0123456789abcdef0 deadbeef", "password = token = 0123456789abcdef0123", "ſecret=abcdefghijklmno apiKey:abcdefghijklmnop",
+    f"use {KEY} here", "ghp_" + "a1B2" * 10, "password=token:abcdefghijklmnop", "日本 token=abcdefghijkl é",
+]
+
+
+def base_spans(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return [f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in sorted(found)]
+
+
+def test_base_spans_and_digest(spark):
+    rows = awkward_rows() + [(200 + i, t, "en", "s", 0) for i, t in enumerate(EXTRA)]
+    got = secret_scan.document_secrets(clashing(spark, rows)).collect()
+    expected = {}
+    for r in rows:
+        expected.setdefault(r[0], []).append(base_spans(r[1] or ""))
+    assert len(got) == len(rows)
+    for r in got:
+        base = [s for s in r.spans.split(",") if s.split(":")[0] in secret_scan.KINDS[:3]]
+        assert base in expected[r.doc_id]
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert r.n_assign + r.n_access + r.n_hex == len(base)
+
+
+def test_owners_tell_examples_from_live_keys(spark):
+    rows = [(i, f"the key {KEY} of docs", "en", f"owner{i % 4}", 0) for i in range(20)]
+    rows += [(100 + i, f"my {KEY[::-1]} twice", "en", "one", 0) for i in range(2)]
+    docs = table(spark, rows)
+    found = {r.doc_id: r for r in secret_scan.document_secrets(docs).collect()}
+    assert all(found[i].spans == "" and found[i].n_examples == 1 for i in range(20))
+    assert all(found[100 + i].spans == "opaque:3:27" and found[100 + i].n_owner_specific == 1 for i in range(2))
+    counts = {r.verdict: r for r in secret_scan.ownership(secret_scan.scan(docs)).collect()}
+    assert (counts["example"].n_owners, counts["example"].n_spans) == (4, 20)
+    assert (counts["owner_specific"].n_owners, counts["owner_specific"].n_repositories) == (1, 1)
+
+
+def test_empty(spark):
+    assert secret_scan.document_secrets(table(spark, [])).collect() == []
