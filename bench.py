@@ -25,7 +25,7 @@ HEADLINE = [
     "user_temporal_features", "user_engagement", "user_features", "user_segments", "sampled_users",
     "users_to_label", "cluster_representatives", "cluster_keywords", "cluster_records",
     "cluster_weights", "recommended_posts", "users_to_follow", "preference_summary", "parsed_labels",
-    "quality_regression", "kmeans_topics", "density_clusters",
+    "quality_regression", "kmeans_topics",
 ]
 
 

@@ -87,11 +87,11 @@ def short_claim(text: Column) -> Column:
     return (F.length(text) < SHORT_CLAIM_BELOW) & F.lower(text).contains("claim")
 
 
-def cashtag(text: Column, mode: str = "intent") -> Column:
+def cashtag(text: Column, mode: str = "literal") -> Column:
     """True for ticker symbols such as ``$BTC``.
 
-    ``intent`` looks for the symbol anywhere. ``literal`` reads the rule as a whole-text pattern
-    in which the percent signs stand for themselves, so it hardly ever fires.
+    ``literal``, the default, reads the rule as a whole-text pattern in which the percent signs
+    stand for themselves, so it hardly ever fires. ``intent`` looks for the symbol anywhere.
     """
     patterns = {"intent": CASHTAG, "literal": CASHTAG_WHOLE_TEXT}
     return text.rlike(patterns[mode])
@@ -101,7 +101,7 @@ def loose_spam(text: Column, whole_words: bool = False) -> Column:
     return mentions_any(text, LOOSE_SPAM, whole_words)
 
 
-def strict_spam(text: Column, cashtag_mode: str = "intent", whole_words: bool = False) -> Column:
+def strict_spam(text: Column, cashtag_mode: str = "literal", whole_words: bool = False) -> Column:
     """Every strict rule together. The four word lists and the greetings run as one regex pass."""
     words = [w for group in SPAM_LISTS.values() for w in group]
     one_pass = (
@@ -110,7 +110,7 @@ def strict_spam(text: Column, cashtag_mode: str = "intent", whole_words: bool =
     return F.lower(text).rlike(one_pass) | short_claim(text) | cashtag(text, cashtag_mode)
 
 
-def spam_flags(text: Column, cashtag_mode: str = "intent") -> dict[str, Column]:
+def spam_flags(text: Column, cashtag_mode: str = "literal") -> dict[str, Column]:
     """Each rule on its own, for reports on what the rules drop."""
     flags = {
         "loose_spam": loose_spam(text),

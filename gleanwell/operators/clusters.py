@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import as_fid, distance, hash_hex, shorten
-from gleanwell.operators.bounded import bounded
 from gleanwell.operators.ranking import top_per_group
 
 # How many posts stand for a cluster.
@@ -33,7 +32,7 @@ def distance_to_centre(
 ) -> DataFrame:
     """Adds ``distance_to_center``. There is one centre per cluster, so the posts stay in place."""
     return (
-        posts.join(bounded(centres), "cluster_id")
+        posts.join(centres, "cluster_id")
         .withColumn("distance_to_center", distance(F.col(vector), F.col("centre")))
         .drop("centre")
     )
@@ -61,7 +60,7 @@ def representatives(
     ).withColumn("pos", F.col("pos") + closest)
     firsts = near.unionByName(loud).groupBy("cluster_id", "Hash").agg(F.min("pos").alias("pos"))
     chosen = top_per_group(firsts, ["cluster_id"], [F.col("pos").asc()], cap, rank="position")
-    keys = bounded(chosen.select("cluster_id", "Hash", "position"), 1_000_000)
+    keys = chosen.select("cluster_id", "Hash", "position")
     return posts.join(keys, ["cluster_id", "Hash"])
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanwell.operators.ranking import exact_quantiles, top_k, top_per_group
-from gleanwell.operators.skew import join_spread
 from gleanwell.session import materialized
 
 # Weights and caps of the content filter.
@@ -16,27 +15,27 @@ CONTENT_CAP = 100_000
 
 
 def one_row_per_fid(scores: DataFrame) -> DataFrame:
-    """Fail on repeated ids, which would multiply posts in the join below."""
-    checked = scores.groupBy("fid").agg(
-        F.first("quality_score").alias("quality_score"),
-        F.first("quality_category").alias("quality_category"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    fid = F.when(F.col("_n") == 1, F.col("fid")).otherwise(
-        F.raise_error(F.concat(F.lit("more than one score for "), F.col("fid").cast("string")))
+    """Fail on repeated ids, which would multiply posts in the join below.
+
+    The test is a single value beside the rows, which keeps the join's exchange bare for AQE.
+    """
+    twice = scores.filter("fid IS NOT NULL").groupBy("fid").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated = twice.agg(F.max(F.col("fid").cast("string"))).scalar()
+    fid = F.when(repeated.isNull(), F.col("fid")).otherwise(
+        F.raise_error(F.concat(F.lit("more than one score for "), repeated))
     )
-    return checked.select(fid.alias("fid"), "quality_score", "quality_category")
+    return scores.select(fid.alias("fid"), "quality_score", "quality_category")
 
 
 def add_author_scores(posts: DataFrame, scores: DataFrame) -> DataFrame:
     """Posts with their author's score, the trusted share of engagement and the post score.
 
-    The join is spread by post, so an author with very many posts is not gathered in one task.
+    Both sides of the join are bare exchanges, so AQE splits an author with very many posts.
     """
     qr, qp = F.col("quality_reactions"), F.col("quality_replies")
     tr, tp = F.col("total_reactions"), F.col("total_replies")
     by_author = one_row_per_fid(scores).withColumnRenamed("fid", "Fid")
-    joined = join_spread(posts, by_author, "Fid", F.col("Hash"))
+    joined = posts.join(by_author, "Fid", "left")
     return joined.select(
         *posts.columns,
         "quality_score",
@@ -49,16 +48,18 @@ def add_author_scores(posts: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def top_posts_per_author(posts: DataFrame, n: int = POSTS_PER_AUTHOR) -> DataFrame:
-    return top_per_group(
-        posts, ["Fid"], [F.col("cast_score").desc_nulls_last(), F.col("Hash").asc()], n
-    )
+    """The n best posts of every author, best posts of all first."""
+    best_first = [F.col("cast_score").desc_nulls_last(), F.col("Hash").asc()]
+    return top_per_group(posts, ["Fid"], best_first, n).orderBy(*best_first)
 
 
 def high_quality_casts(
-    posts: DataFrame, scores: DataFrame, per_author: int = POSTS_PER_AUTHOR, cap: int = CONTENT_CAP
+    posts: DataFrame, scores: DataFrame, per_author: int = POSTS_PER_AUTHOR, cap: int | None = None
 ) -> DataFrame:
-    scored = add_author_scores(posts, scores)
-    return top_k(top_posts_per_author(scored, per_author), "cast_score", "Hash", cap)
+    """The best posts, at most ``per_author`` of each author, in score order; with ``cap``
+    (``CONTENT_CAP`` where memory is short) at most that many."""
+    best = top_posts_per_author(add_author_scores(posts, scores), per_author)
+    return best if cap is None else top_k(materialized(best), "cast_score", "Hash", cap)
 
 
 def content_stats(posts: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import has_value, key_part
-from gleanwell.operators.skew import join_spread
 
 QUALITY_FROM = 7.0
 INCLUDED_FROM = 4.0
@@ -18,8 +17,8 @@ REACTION_POINTS, REPLY_POINTS = 2, 5
 
 
 def fids_scoring_at_least(scores: DataFrame, threshold: float) -> DataFrame:
-    """One row per author id whose score reaches the threshold."""
-    return scores.filter(F.col("quality_score") >= threshold).select("fid").distinct()
+    """The author ids whose score reaches the threshold, for semi joins."""
+    return scores.filter(F.col("quality_score") >= threshold).select("fid")
 
 
 def count_per_target(df: DataFrame, key: str, target: str, count: str) -> DataFrame:
@@ -49,19 +48,18 @@ def quality_count_per_target(
 ) -> DataFrame:
     """Rows per target hash, and how many of them come from quality authors.
 
-    One author may write a third of all rows, so the membership join is spread by target. The
-    count then combines on the map side.
+    All rows are counted straight from the scan, combined in every task before their one
+    exchange. Trusted rows are what a semi join on the author leaves, counted likewise; an author
+    who writes a third of all rows is split by AQE, as both sides of that join are bare exchanges.
     """
     keyed = df.filter(has_value(F.col(key))).select(
         key_part(F.col(key)).alias(target), F.col("Fid").alias("_fid")
     )
-    members = quality_fids.select(F.col("fid").alias("_fid")).distinct()
-    members = members.withColumn("_member", F.lit(True))
-    return (
-        join_spread(keyed, members, "_fid", F.col(target))
-        .groupBy(target)
-        .agg(F.count(F.lit(1)).alias(total), F.count_if(F.col("_member")).alias(quality))
-    )
+    members = quality_fids.select(F.col("fid").alias("_fid"))
+    trusted = keyed.join(members, "_fid", "left_semi").groupBy(target).agg(F.count(F.lit(1)).alias(quality))
+    everyone = keyed.groupBy(target).agg(F.count(F.lit(1)).alias(total))
+    both = everyone.join(trusted.withColumnRenamed(target, "_target"), F.expr(f"{target} <=> _target"), "left")
+    return both.select(target, total, F.coalesce(quality, F.lit(0)).alias(quality))
 
 
 def quality_reactions(reactions: DataFrame, quality_fids: DataFrame) -> DataFrame:

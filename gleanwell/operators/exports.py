@@ -9,7 +9,6 @@ from gleanwell.functions import rules
 from gleanwell.functions.scalars import has_value, post_seconds
 from gleanwell.operators import engagement
 from gleanwell.operators.ranking import top_k
-from gleanwell.operators.skew import join_spread
 from gleanwell.session import materialized
 
 # Cutoffs and caps the exports are defined by.
@@ -69,7 +68,7 @@ def quality_candidates(
     reactions: DataFrame,
     scores: DataFrame,
     recent_from: int = RECENT_FROM,
-    cashtag_mode: str = "intent",
+    cashtag_mode: str = "literal",
     whole_words: bool = False,
 ) -> DataFrame:
     """All posts that pass the strict rules, before the size cap.
@@ -93,15 +92,16 @@ def quality_candidates(
         & (F.col("total_replies") > 0)
     )
     authors = included.select(F.col("fid").alias("Fid"))
-    return join_spread(engaged, authors, "Fid", F.col("Hash"), "inner").select(*engaged.columns)
+    return engaged.join(authors, "Fid", "left_semi").select(*engaged.columns)
 
 
 def export_quality_casts(
-    casts: DataFrame, reactions: DataFrame, scores: DataFrame, cap: int = STRICT_CAP, **rules_used
+    casts: DataFrame, reactions: DataFrame, scores: DataFrame, cap: int | None = None, **rules_used
 ) -> DataFrame:
-    """The strict export: at most ``cap`` posts, highest engagement score first.
+    """The strict export, highest engagement score first; ``cap`` (``STRICT_CAP`` where memory is
+    short) keeps that many posts.
 
-    The candidates are written once, since finding the cap and applying it both read them.
+    With a cap the candidates are written once, since finding the cap and applying it read them.
     """
-    candidates = materialized(quality_candidates(casts, reactions, scores, **rules_used))
-    return top_k(candidates, "engagement_score", "Hash", cap)
+    candidates = quality_candidates(casts, reactions, scores, **rules_used)
+    return top_k(candidates if cap is None else materialized(candidates), "engagement_score", "Hash", cap)

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from gleanwell.session import materialized
 
-IN_MEMORY_TOP = 10_000
-GROUP_LIMIT = 1_000  # Spark's default for limits on row_number
 SLICES = 64
 
 
@@ -23,13 +21,12 @@ def top_per_group(
 ) -> DataFrame:
     """The first n rows of every group.
 
-    Up to ``GROUP_LIMIT`` rows, Spark cuts each group in every task before the shuffle. Beyond
-    that it does not, so a group is first cut in slices, and only what is left of it meets.
+    Spark cuts each group in every task before the exchange, for n up to a setting of the session.
+    Beyond that a group is cut in slices first, and only what is left of it meets.
     """
     name = rank or "_rank"
-    if n > GROUP_LIMIT:
-        keys = F.xxhash64(*df.columns)
-        slices = df.withColumn("_part", F.pmod(keys, F.lit(SLICES)))
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        slices = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(SLICES)))
         inner = Window.partitionBy(*group, "_part").orderBy(*order)
         df = slices.withColumn(name, F.row_number().over(inner)).filter(F.col(name) <= n).drop("_part", name)
     window = Window.partitionBy(*group).orderBy(*order)
@@ -37,57 +34,45 @@ def top_per_group(
     return ranked if rank else ranked.drop(name)
 
 
-def top_k(df: DataFrame, score: str, tie: str, k: int) -> DataFrame:
-    """The k rows with the highest score, nulls last, equal scores by ``tie`` ascending.
-
-    A small k is a plain ordered limit. A large one would gather k wide rows from every task in
-    a single place, so the k-th (score, tie) pair is looked up first, on those two columns only,
-    and the wide rows are then just filtered against it. ``tie`` must be unique.
-    """
-    if k <= IN_MEMORY_TOP:
-        return df.orderBy(F.col(score).desc_nulls_last(), F.col(tie).asc()).limit(k)
-    last = kth_pair(df, score, tie, k).select(F.struct("_score", "_tie", "_all")).scalar()
-    value, key = F.col(score), F.col(tie)
-    keep = (
-        last["_all"]
-        | (value > last["_score"])
-        | (value.isNotNull() & last["_score"].isNull())
-        | (value.eqNullSafe(last["_score"]) & (key <= last["_tie"]))
-    )
-    return df.filter(keep)
+def ranged(df: DataFrame, *order: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows dealt to ranges of ``order`` from sampled bounds, saved with their range's number
+    (``_range``), and the count of rows (``_n``) per range. Equal leading values are split by
+    the later ones, so no range gets more than its share."""
+    dealt = materialized(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    return dealt, dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
 
 
-def kth_pair(df: DataFrame, score: str, tie: str, k: int) -> DataFrame:
-    """One row: the k-th (score, tie) pair, or ``_all`` when there are at most k rows.
+def top_k(df: DataFrame, score: str, tie: str, k: int | None) -> DataFrame:
+    """The k rows with the highest score in order: NaN and null last, equal scores by ``tie``.
 
-    Whole-number steps of the score are counted first (one row per step). Only the step that
-    holds the k-th row is ranked, and that in slices by hash, each cut to what is still needed.
+    ``k`` None keeps all rows. The k-th (score, tie) pair is looked up on those two columns in
+    ranges of them, one range being ranked, and the wide rows are filtered against it and sorted;
+    for any k the same way. ``tie`` must be unique. The input is read twice.
     """
-    step = F.floor(F.col(score).cast("double"))
-    slim = df.select(
-        F.col(score).alias("_score"), F.col(tie).alias("_tie"), step.alias("_step")
-    )
-    down = Window.orderBy(F.col("_step").desc_nulls_last())
-    steps = (
-        slim.groupBy("_step")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(down))
-    )
-    hit = (
-        steps.filter(F.col("_upto") >= k)
-        .orderBy(F.col("_upto").asc())
-        .limit(1)
-        .select(F.col("_step").alias("_hit"), (F.lit(k) - F.col("_upto") + F.col("_n")).alias("_need"))
-    )
-    inside = slim.join(F.broadcast(hit), F.col("_step").eqNullSafe(F.col("_hit")))
+    value = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
+    order = [value.desc_nulls_last(), F.col(tie).asc()]
+    if k is None:
+        return df.orderBy(*order)
+    last = kth_pair(df.select(value.alias("_score"), F.col(tie).alias("_tie")), k)
+    if last is None:
+        return df.orderBy(*order).limit(k)
+    number, key = F.lit(last["_score"]).cast("double"), F.lit(last["_tie"])
+    above = (value > number) | (value.isNotNull() & number.isNull())
+    return df.filter(F.coalesce(above, F.lit(False)) | (value.eqNullSafe(number) & (F.col(tie) <= key))).orderBy(*order)
+
+
+def kth_pair(slim: DataFrame, k: int):
+    """The k-th (score, tie) pair, or None when there are fewer rows. The driver gets one count
+    per range and one row."""
     order = [F.col("_score").desc_nulls_last(), F.col("_tie").asc()]
-    ranked = top_per_group(inside, ["_step"], order, k, rank="_rank")
-    found = ranked.filter(F.col("_rank") == F.col("_need")).select("_score", "_tie")
-    return found.agg(
-        F.first("_score").alias("_score"),
-        F.first("_tie").alias("_tie"),
-        (F.count(F.lit(1)) == 0).alias("_all"),
-    )
+    dealt, counts = ranged(slim, *order)
+    before = 0
+    for row in sorted(counts.collect()):
+        if before + row["_n"] >= k > 0:
+            inside = dealt.filter(F.col("_range") == row["_range"])
+            return inside.orderBy(*order).offset(k - before - 1).limit(1).first()
+        before += row["_n"]
+    return None
 
 
 def numbered_by_time(
@@ -116,40 +101,31 @@ def numbered_by_time(
     )
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: dict[str, float], slices: int = 1000
-) -> DataFrame:
-    """One row with linearly interpolated quantiles, nulls ignored; names are the dict's keys.
+def exact_quantiles(df: DataFrame, column: str, probabilities: dict[str, float]) -> DataFrame:
+    """One row with linearly interpolated quantiles, nulls and NaN ignored; names are the keys.
 
-    Values are counted first, then ranked slice by slice of the value range, so no task has to
-    hold all values. The counts are written once, as the range and the ranks both read them. The
-    slice table (at most ``slices`` + 1 rows) is what gets broadcast.
+    Different values are counted first, then ranked range by range from sampled bounds, so neither
+    one frequent value nor one far value fills a task. The shifts between ranges are one row per
+    range.
     """
     value = F.col("_v")
-    counted = materialized(
+    counted = (
         df.select(F.col(column).cast("double").alias("_v"))
         .filter(value.isNotNull() & ~F.isnan(value))
         .groupBy("_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    span = counted.agg(
-        F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.sum("_n").alias("n")).alias("s")
-    ).scalar()
-    lo, hi, total = span["lo"], span["hi"], span["n"]
-    width = F.when(hi > lo, (hi - lo) / F.lit(float(slices))).otherwise(F.lit(1.0))
-    sliced = counted.withColumn("_slice", F.floor((value - lo) / width))
+    sliced, _ = ranged(counted, value.asc())
+    sliced = sliced.withColumnRenamed("_range", "_slice")
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        sliced.groupBy("_slice")
-        .agg(F.sum("_n").alias("_m"))
-        .withColumn("_shift", F.coalesce(F.sum("_m").over(earlier), F.lit(0)))
-        .select("_slice", "_shift")
-    )
+    sums = sliced.groupBy("_slice").agg(F.sum("_n").alias("_m"))
+    total = sums.agg(F.sum("_m")).scalar()
+    shifts = sums.withColumn("_shift", F.coalesce(F.sum("_m").over(earlier), F.lit(0))).select("_slice", "_shift")
     upto = F.sum("_n").over(
         Window.partitionBy("_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     )
     ranked = (
-        sliced.join(F.broadcast(shifts), "_slice")
+        sliced.join(shifts, "_slice")
         .withColumn("_end", F.col("_shift") + upto)
         .withColumn("_start", F.col("_end") - F.col("_n"))
         .withColumn("_total", total)

@@ -1,8 +1,8 @@
 """Learning what users like from their answers, for all sessions at once.
 
-A session is one row: its answers in order. The cluster table travels as a size-checked array
-(``book``), in cluster id order, and weights are an array in the same order. A session holds at
-most ``MAX_QUESTIONS`` answers, which ``sessions_from`` guarantees, so no group grows with the data.
+A session is one row: its answers in order, which are one user's. The cluster table travels as an
+array (``book``) in base order, best mean post score first and then by id, and weights are an array
+in the same order. Equal weights always fall back on the base order.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import shorten, shuffled_by
-from gleanwell.operators.bounded import book, bounded
+from gleanwell.operators.bounded import book
 from gleanwell.operators.ranking import top_per_group
 
 # How answers change weights, and the limits of a session and its results.
@@ -29,15 +29,16 @@ SUMMARY_WORDS, WORDS_PER_CLUSTER = 10, 5
 SAMPLE_CHARS = 150
 
 
-def sessions_from(
-    feedback: DataFrame, keys: Sequence[str], max_questions: int = MAX_QUESTIONS
-) -> DataFrame:
-    """One row per session with its answers in order; a longer session stops the job."""
+def sessions_from(feedback: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per session with all its answers in order."""
     answer = F.struct("seq", "cluster_id", "liked")
-    in_range = F.when(F.col("seq").between(1, max_questions), answer).otherwise(
-        F.raise_error(F.lit(f"answers are numbered from 1 to {max_questions}"))
-    )
-    return feedback.groupBy(*keys).agg(F.sort_array(F.collect_list(in_range)).alias("answers"))
+    return feedback.groupBy(*keys).agg(F.sort_array(F.collect_list(answer)).alias("answers"))
+
+
+def pages_of(clusters: DataFrame, *columns: str | Column) -> Column:
+    """The clusters in base order as an array of structs: ``cluster_id`` and the given columns."""
+    base = F.coalesce(-F.col("avg_cast_score"), F.lit(float("inf")))
+    return book(clusters.select(base.alias("_base"), "cluster_id", *columns), "_base")
 
 
 def _same_words(a: Column, b: Column) -> Column:
@@ -60,41 +61,49 @@ def _factor(cluster: Column, target: Column, liked: Column) -> Column:
     )
 
 
+def factor_table(clusters: DataFrame) -> Column:
+    """One struct for all clusters: their ids in base order, and per cluster answered on the
+    factors of all weights, for a like and for a dislike."""
+    def factors(pages: Column, liked: bool) -> Column:
+        return F.transform(pages, lambda t: F.transform(pages, lambda c: _factor(c, t, F.lit(liked))))
+
+    pages = F.col("pages")
+    one = clusters.sparkSession.range(1).select(pages_of(clusters, "name", "top_words").alias("pages"))
+    return one.select(F.struct(
+        F.transform(pages, lambda c: c["cluster_id"]).alias("ids"),
+        factors(pages, True).alias("like"), factors(pages, False).alias("dislike"),
+    )).scalar()
+
+
 def cluster_weights(sessions: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Adds ``weights``: one number per cluster after all answers, in cluster id order.
+    """Adds ``weights``: one number per cluster after all answers, in base order.
 
-    Each answer multiplies every weight. When the largest exceeds the cap, all are scaled down.
+    Each answer multiplies every weight by a factor looked up by position. When the largest
+    exceeds the cap, all are scaled down. Answers on unknown clusters change nothing.
     """
-    pages = book(clusters.select("cluster_id", "name", "top_words"), "cluster_id")
-    rows = sessions.withColumn("_book", pages)
-    known = F.filter(
-        "answers", lambda a: F.exists(F.col("_book"), lambda c: c["cluster_id"] == a["cluster_id"])
-    )
+    table = F.col("_table")
+    rows = sessions.withColumn("_table", factor_table(clusters))
+    known = F.filter("answers", lambda a: F.array_contains(table["ids"], a["cluster_id"]))
+
+    def scaled(moved: Column, top: Column) -> Column:
+        return F.when(top > WEIGHT_CAP, F.transform(moved, lambda w: w / (top / F.lit(WEIGHT_CAP)))).otherwise(moved)
 
     def after(weights: Column, answer: Column) -> Column:
-        target = F.filter(F.col("_book"), lambda c: c["cluster_id"] == answer["cluster_id"])[0]
-        moved = F.zip_with(
-            weights, F.col("_book"), lambda w, c: w * _factor(c, target, answer["liked"])
-        )
-        return F.transform(
-            F.array(moved),
-            lambda m: F.when(
-                F.array_max(m) > WEIGHT_CAP,
-                F.transform(m, lambda w: w / (F.array_max(m) / F.lit(WEIGHT_CAP))),
-            ).otherwise(m),
-        )[0]
+        rows_of = F.when(answer["liked"], table["like"]).otherwise(table["dislike"])
+        factors = F.element_at(rows_of, F.array_position(table["ids"], answer["cluster_id"]).cast("int"))
+        moved = F.transform(F.array(F.zip_with(weights, factors, lambda w, f: w * f)), lambda m: F.struct(m.alias("m"), F.array_max(m).alias("top")))
+        return F.transform(moved, lambda x: scaled(x["m"], x["top"]))[0]
 
-    start = F.transform(F.col("_book"), lambda _: F.lit(1.0))
-    return rows.withColumn("weights", F.aggregate(known, start, after)).drop("_book")
+    start = F.transform(table["ids"], lambda _: F.lit(1.0))
+    return rows.withColumn("weights", F.aggregate(known, start, after)).drop("_table")
 
 
 def weight_rows(weighted: DataFrame, clusters: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The weights as rows: session keys, ``cluster_id``, ``weight``."""
-    ids = book(clusters.select("cluster_id"), "cluster_id")
     pairs = F.zip_with(
         "_book", "weights", lambda c, w: F.struct(c["cluster_id"].alias("cluster_id"), w.alias("weight"))
     )
-    return weighted.withColumn("_book", ids).select(*keys, F.inline(pairs))
+    return weighted.withColumn("_book", pages_of(clusters)).select(*keys, F.inline(pairs))
 
 
 def strong_signal(weighted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -130,22 +139,22 @@ def next_post(
             F.col("cluster_id"), i.alias("post_idx"), p["hash"].alias("hash"), _appeal(p).alias("appeal")
         ),
     )
-    pages = book(
-        clusters.select("cluster_id", "name", "size", "avg_quality_score", posts.alias("posts")),
-        "cluster_id",
-    )
+    pages = pages_of(clusters, "name", "size", "avg_quality_score", posts.alias("posts"))
     asked = F.size("answers")
     base = weighted.withColumn("_book", pages).withColumn(
         "_heavy",
         _by(
             F.filter(
-                F.zip_with(
-                    "weights", "_book",
-                    lambda w, c: F.struct(c["cluster_id"].alias("cluster_id"), c["name"].alias("name"), w.alias("weight")),
+                F.transform(
+                    "_book",
+                    lambda c, i: F.struct(
+                        c["cluster_id"].alias("cluster_id"), c["name"].alias("name"),
+                        F.get("weights", i).alias("weight"), i.alias("place"),
+                    ),
                 ),
                 lambda x: x["weight"] > ACTIVE_ABOVE,
             ),
-            lambda x: x["weight"], lambda x: x["cluster_id"],
+            lambda x: x["weight"], lambda x: x["place"],
         ),
     )
     seen_themes = F.transform(
@@ -167,9 +176,8 @@ def next_post(
     drawn = F.array_min(
         F.transform("_candidates", lambda c: F.struct(draw(c).alias("d"), c["cluster_id"].alias("id")))
     )["id"]
-    biggest = _by(
-        F.col("_book"), lambda c: c["size"] * c["avg_quality_score"], lambda c: c["cluster_id"]
-    )[0]["cluster_id"]
+    placed = F.transform("_book", lambda c, i: F.struct(c["cluster_id"].alias("cluster_id"), (c["size"] * c["avg_quality_score"]).alias("worth"), i.alias("place")))
+    biggest = _by(placed, lambda c: c["worth"], lambda c: c["place"])[0]["cluster_id"]
     first_id = F.when(asked < 3, F.element_at("_book", 1)["cluster_id"])
     chosen = F.when(asked == 0, biggest).otherwise(F.coalesce(drawn, first_id))
 
@@ -209,13 +217,13 @@ def recommended_posts(
         ),
     )
     best = F.slice(_by(listed, lambda p: p["appeal"], lambda p: p["idx"]), 1, POSTS_PER_CLUSTER)
-    pages = book(clusters.select("cluster_id", best.alias("best")), "cluster_id")
+    pages = pages_of(clusters, best.alias("best"))
     heavy = _by(
         F.filter(
-            F.zip_with("weights", "_book", lambda w, c: F.struct(w.alias("weight"), c.alias("c"))),
+            F.transform("_book", lambda c, i: F.struct(F.get("weights", i).alias("weight"), i.alias("place"), c.alias("c"))),
             lambda x: x["weight"] >= RECOMMEND_FROM,
         ),
-        lambda x: x["weight"], lambda x: x["c"]["cluster_id"],
+        lambda x: x["weight"], lambda x: x["place"],
     )
     posts = F.slice(F.flatten(F.transform(heavy, lambda x: x["c"]["best"])), 1, n)
     return (
@@ -230,7 +238,7 @@ def recommended_posts(
 
 def diversity(cluster_sets: DataFrame, clusters: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct themes per entry of each cluster set; ``cluster_sets`` has one row per entry."""
-    names = bounded(clusters.select("cluster_id", "name"))
+    names = clusters.select("cluster_id", "name")
     return cluster_sets.join(names, "cluster_id").groupBy(*keys).agg(
         (F.count_distinct("name") / F.count(F.lit(1))).alias("diversity")
     )
@@ -243,7 +251,7 @@ def preference_summary(
 
     Repeated answers count each time. Lists keep the order of first appearance.
     """
-    known = bounded(clusters.select("cluster_id", "name", "top_words"))
+    known = clusters.select("cluster_id", "name", "top_words")
     answers = feedback.join(known, "cluster_id")
     themes = (
         answers.groupBy(*keys, "name")
@@ -301,14 +309,11 @@ def users_to_follow(
     Points add up and halvings multiply, so both are plain sums over appearances of an author
     among the representatives of the clusters answered on.
     """
-    posts = bounded(
-        clusters.select(
-            "cluster_id", "name", F.posexplode("representatives").alias("idx", "post")
-        ).select(
-            "cluster_id", "name", "idx", "post.fid", "post.author_quality",
-            shorten(F.col("post.text"), SAMPLE_CHARS, ellipsis=False).alias("text"),
-        ),
-        1_000_000,
+    posts = clusters.select(
+        "cluster_id", "name", F.posexplode("representatives").alias("idx", "post")
+    ).select(
+        "cluster_id", "name", "idx", "post.fid", "post.author_quality",
+        shorten(F.col("post.text"), SAMPLE_CHARS, ellipsis=False).alias("text"),
     )
     seen = feedback.join(posts, "cluster_id")
     liked = F.col("liked")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import post_moment, post_seconds, shuffled_by
-from gleanwell.operators.bounded import bounded
 from gleanwell.operators.features import ACTIVITY_MIN_CHARS, MIN_POSTS
 from gleanwell.operators.ranking import exact_quantiles, newest_first, top_k, top_per_group
 
@@ -47,7 +46,8 @@ def user_activity(casts: DataFrame, min_posts: int = MIN_POSTS) -> DataFrame:
     )
 
 
-def most_active(activity: DataFrame, cap: int = POPULATION_CAP) -> DataFrame:
+def most_active(activity: DataFrame, cap: int | None = None) -> DataFrame:
+    """Authors by number of posts; ``cap`` (``POPULATION_CAP`` where memory is short) keeps the first."""
     return top_k(activity, "post_count", "fid", cap)
 
 
@@ -108,13 +108,13 @@ def users_to_label(
 ) -> DataFrame:
     """The sampled authors with their figures and newest posts, ready for labelling.
 
-    The sample's ids are copied to every task, so only posts of sampled authors are exchanged.
+    A semi join leaves the posts of sampled authors; Spark copies a small sample to the tasks.
     """
     posts = casts.filter(F.length("Text") > ACTIVITY_MIN_CHARS).select(
         F.col("Fid").alias("fid"), "Hash", "Text",
         post_seconds(F.col("Timestamp")).alias("timestamp"),
     )
-    of_sampled = posts.join(bounded(sampled.select("fid"), POPULATION_CAP), "fid", "left_semi")
+    of_sampled = posts.join(sampled.select("fid"), "fid", "left_semi")
     newest = top_per_group(of_sampled, ["fid"], newest_first(), posts_shown, rank="pos")
     collected = newest.groupBy("fid").agg(
         F.transform(

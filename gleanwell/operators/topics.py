@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import shorten, strip, title_case, words_of
-from gleanwell.operators.bounded import bounded
 from gleanwell.operators.clusters import cluster_averages, representative_records
 from gleanwell.operators.ranking import top_per_group
 from gleanwell.session import materialized
@@ -120,10 +119,9 @@ def tfidf_keywords(
 ) -> DataFrame:
     """Per cluster the terms with the highest summed weight: ``cluster_id, rank, term, score``.
 
-    ``terms`` comes from ``vocabulary``. It has at most 100 terms per cluster, so it is copied
-    to every task, and only occurrences of these terms leave a text.
+    ``terms`` comes from ``vocabulary`` and has at most 100 terms per cluster, so Spark copies it
+    to the tasks while it is small, and only occurrences of these terms go on.
     """
-    terms = bounded(terms, 1_000_000)
     hits = (
         posts.select(
             "cluster_id", "Hash", F.explode(grams_of(F.col("Text"), stop_words)).alias("term")
@@ -167,19 +165,22 @@ def counted_words(
 
 
 def common_words(
-    posts: DataFrame, stop_words: list[str] = EARLY_STOP_WORDS, first_texts: int | None = COMMON_TEXTS
+    posts: DataFrame, stop_words: list[str] = EARLY_STOP_WORDS, first_texts: int | None = None
 ) -> DataFrame:
     return counted_words(posts, stop_words, 4, COMMON_WORDS, first_texts)
 
 
-def cluster_keywords(posts: DataFrame) -> DataFrame:
-    """Weighted keywords; clusters without a shared vocabulary get plain word counts instead."""
+def cluster_keywords(posts: DataFrame, fallback_texts: int | None = None) -> DataFrame:
+    """Weighted keywords; clusters without a shared vocabulary get plain word counts instead.
+
+    ``fallback_texts`` (``FALLBACK_TEXTS`` where time is short) counts that many of their best posts only.
+    """
     terms = materialized(vocabulary(posts))
     weighted = tfidf_keywords(posts, terms)
-    covered = bounded(terms.select("cluster_id").distinct())
+    covered = terms.select("cluster_id").distinct()
     bare = posts.join(covered, "cluster_id", "left_anti")
     counts = counted_words(
-        bare, STOP_WORDS, 3, KEYWORDS, FALLBACK_TEXTS, "cast_score", descending=True
+        bare, STOP_WORDS, 3, KEYWORDS, fallback_texts, "cast_score", descending=True
     ).select("cluster_id", "rank", F.col("word").alias("term"), F.col("n").cast("double").alias("score"))
     return weighted.select("cluster_id", "rank", "term", "score").unionByName(counts)
 

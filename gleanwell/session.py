@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCRATCH: list[str] = []
+
 
 def local_session(cpus: int = 8, app: str = "gleanwell") -> SparkSession:
     """A single-JVM session. Cluster jobs bring their own session and settings."""
@@ -37,16 +41,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="gleanwell-checkpoint-"))
+    local = tempfile.mkdtemp(prefix="gleanwell-checkpoint-")
+    atexit.register(shutil.rmtree, local, True)
+    sc.setCheckpointDir(local)
+
+
+def scratch_folder(spark: SparkSession, name: str = "stage") -> str:
+    """A new path below the shared folder; ``clear_scratch`` deletes what was written there."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables that this process has written, once their results are out."""
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """The same rows, written once to the shared checkpoint folder and read back.
+def materialized(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """The same rows, written once to ``folder`` or to the shared folder, and read back.
 
     For results that several later steps read. Lineage ends at the files, so a lost executor
     costs no recomputation, and each later step reads only the columns it needs.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/stage-{uuid.uuid4().hex}"
+    path = folder or scratch_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

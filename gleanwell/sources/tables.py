@@ -41,9 +41,9 @@ def read_parquet(spark: SparkSession, path: str, view: str | None = None) -> Dat
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records from a JSON array file, or from JSON lines when the path is a folder we wrote.
+    """Records from files that each hold one JSON array.
 
-    A file holding one array cannot be split, so big tables should be JSON lines or Parquet.
+    Such a file cannot be split, so big tables should be JSON lines or Parquet.
     """
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
@@ -52,11 +52,21 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records from JSON lines or from array files, whichever the path holds.
+
+    An array starts with a bracket, a line with a brace; the first line that is not blank tells.
+    """
+    opening = spark.read.text(path).select(F.ltrim("value").alias("line")).filter("line <> ''").head()
+    read = read_json_array if opening and opening["line"].startswith("[") else read_json_lines
+    return read(spark, path, schema)
+
+
 def read_first_present(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
     """The first of the paths that exists, for example local labels before bought ones."""
     for path in paths:
         try:
-            return read_json_array(spark, path, schema)
+            return read_json(spark, path, schema)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -83,12 +93,3 @@ def only_of(df: DataFrame, ids: DataFrame, column: str, id_column: str = "fid")
     """Rows whose id is in the id set: one semi join, however long the list is."""
     wanted = ids.select(F.col(id_column).alias("_wanted")).distinct()
     return df.join(wanted, F.col(column) == F.col("_wanted"), "left_semi")
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """A table in a few small files is read by as few tasks; hand its rows to all cores.
-
-    Scans with at least one task per core are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -77,18 +77,6 @@ def test_reduction_is_centred(spark):
     assert 0.9 < vectors.explained_variance(model) <= 1.0 + 1e-9
 
 
-def test_dense_regions(spark):
-    df = blobs(spark, [(0.5, 0.5), (9.5, 9.5)], n=100, spread=0.1).select(
-        "blob", F.col("x")[0].alias("a"), F.col("x")[1].alias("b")
-    )
-    lonely = spark.createDataFrame([(9, 50.0, 50.0)], "blob int, a double, b double")
-    out = vectors.density_clusters(df.unionByName(lonely), ["a", "b"], 1.0, 10, 50)
-    seen = {(r.blob, r.density_cluster) for r in out.select("blob", "density_cluster").distinct().collect()}
-    by_blob = {b: {d for x, d in seen if x == b} - {"-1"} for b in (0, 1, 9)}
-    assert len(by_blob[0]) == 1 and len(by_blob[1]) == 1 and by_blob[0] != by_blob[1] and not by_blob[9]
-    assert vectors.guided_k(out).first().k == 20
-
-
 def test_hashed_vectors_have_unit_length(spark):
     df = spark.createDataFrame([("a", "red green blue"), ("b", "red red fish")], "Hash string, Text string")
     rows = vectors.hashed_vectors(df).collect()

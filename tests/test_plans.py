@@ -22,6 +22,7 @@ def test_author_stages(spark, fx, tmp_path):
     assert labels.count() == 200
     features = authors.build_features(casts, fx.exact_reactions(), out)
     lines = f"{out}/labeled_users"
+    assert tables.read_first_present(spark, [lines], tables.LABELED_USERS).count() == 200
     models = authors.train(spark, [f"{out}/missing", lines], features, out, rounds=5)
     scores = authors.score_all(features, models["regressor"], out)
     assert scores.count() == features.count()
@@ -85,9 +86,17 @@ def test_views_tables_and_id_sets(spark, tmp_path):
     assert tables.row_count(df).first()["rows"] == 10
 
 
-def test_bounded_tables_refuse_to_grow(spark):
-    from gleanwell.operators.bounded import bounded
+def test_only_a_table_of_clusters_becomes_an_array(spark):
+    from gleanwell.operators.bounded import book
 
-    with pytest.raises(Exception, match="meant to be small"):
-        bounded(spark.range(100), max_rows=50).collect()
-    assert bounded(spark.range(100), max_rows=100).count() == 100
+    one = spark.range(1)
+    with pytest.raises(Exception, match="table of clusters"):
+        one.select(book(spark.range(100), "id", max_rows=50)).collect()
+    assert len(one.select(book(spark.range(100), "id", max_rows=100).alias("b")).first()["b"]) == 100
+
+
+def test_json_lines_in_many_files_are_read_whole(spark, tmp_path):
+    path = str(tmp_path / "labels")
+    sinks.write_json(spark.range(200, numPartitions=4).selectExpr("id AS fid", "id / 20.0 AS quality_score"), path)
+    rows = tables.read_first_present(spark, [f"{tmp_path}/none", path], tables.LABELED_USERS)
+    assert sorted(r.fid for r in rows.collect()) == list(range(200))

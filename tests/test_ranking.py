@@ -12,24 +12,39 @@ from gleanwell.operators.sampling import stratified_split
 @pytest.fixture
 def scored(spark):
     rng = random.Random(1)
-    rows = [(f"k{i:04d}", rng.choice([None, 1.0, 2.5, 2.75, 7.0])) for i in range(1000)]
+    rows = [(f"k{i:04d}", rng.choice([None, 1.0, 2.5, 2.75, 7.0, float("nan")])) for i in range(1000)]
     return rows, spark.createDataFrame(rows, "key string, score double")
 
 
-@pytest.mark.parametrize("k", [1, 150, 399, 1000, 5000])
-def test_large_top_k_equals_sorting(scored, monkeypatch, k):
+@pytest.mark.parametrize("k", [0, 1, 150, 399, 901, 1000, 5000, None])
+def test_top_k_in_order_with_gaps_last(scored, k):
     rows, df = scored
-    monkeypatch.setattr(ranking, "IN_MEMORY_TOP", 0)
-    best = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))[:k]
-    got = {tuple(r) for r in ranking.top_k(df, "score", "key", k).collect()}
-    assert got == set(best)
+    missing = lambda s: s is None or s != s
+    best = sorted(rows, key=lambda r: (missing(r[1]), 0 if missing(r[1]) else -r[1], r[0]))[:k]
+    assert [r.key for r in ranking.top_k(df, "score", "key", k).collect()] == [r[0] for r in best]
 
 
-def test_large_and_small_top_k_agree(scored, monkeypatch):
-    _, df = scored
-    small = sorted(map(tuple, ranking.top_k(df, "score", "key", 321).collect()), key=str)
-    monkeypatch.setattr(ranking, "IN_MEMORY_TOP", 0)
-    assert sorted(map(tuple, ranking.top_k(df, "score", "key", 321).collect()), key=str) == small
+def largest_range(df, *order):
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        _, counts = ranking.ranged(df, *order)
+        return max(r._n for r in counts.collect())
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_one_equal_score_is_split_by_the_key(spark):
+    df = spark.range(40_000).select(F.lit(3.0).alias("_score"), F.col("id").alias("_tie"))
+    assert largest_range(df, F.col("_score").desc_nulls_last(), F.col("_tie").asc()) < 10_000
+    top = ranking.top_k(df, "_score", "_tie", 20_000).collect()
+    assert [r._tie for r in top] == list(range(20_000))
+
+
+def test_a_far_outlier_takes_no_range_from_the_others(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") == 0, 1e12).otherwise(F.col("id") / 40_000).alias("_v"))
+    assert largest_range(df, F.col("_v").asc()) < 10_000
+    row = ranking.exact_quantiles(df, "_v", {"a": 0.5, "b": 1.0}).first()
+    assert row.b == 1e12 and row.a == pytest.approx((20_000 + 20_001) / 2 / 40_000, abs=1e-4)
 
 
 @pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [5.0] * 9, list(range(101)), [0.1, 9.9, 0.1, 4.4, None]])

@@ -85,10 +85,28 @@ def test_weights_are_scaled_down_at_the_cap(spark, data):
     assert rows == pytest.approx(learn(clusters, [(2, True)] * 7))
 
 
-def test_too_long_sessions_are_refused(spark):
-    rows = spark.createDataFrame([(1, 8, 2, True)], "user_id bigint, seq int, cluster_id int, liked boolean")
-    with pytest.raises(Exception, match="numbered from 1 to 7"):
-        recommend.sessions_from(rows, KEYS).collect()
+def test_long_sessions_count_every_answer(spark, data):
+    clusters, _, table, _, _ = data
+    rows = [(1, i + 1, i % 5, i % 3 > 0) for i in range(12)]
+    many = spark.createDataFrame(rows, "user_id bigint, seq int, cluster_id int, liked boolean")
+    weighted = recommend.cluster_weights(recommend.sessions_from(many, KEYS), table)
+    got = {r.cluster_id: r.weight for r in recommend.weight_rows(weighted, table, KEYS).collect()}
+    assert got == pytest.approx(learn(clusters, [(c, liked) for _, _, c, liked in rows]))
+
+
+def test_equal_weights_go_by_mean_post_score(spark):
+    reps = [("h", 1, "text", 1.0, 1, 1, 1.0)]
+    rows = [(c, f"T{c}", 10, [], [], 1.0, 1.0, 1.0, float(s), [(f"h{c}", *reps[0][1:])]) for c, s in ((0, 1), (1, 2), (2, 5), (3, 5))]
+    table = spark.createDataFrame(rows, tables.CLUSTERS)
+    disliked = spark.createDataFrame([(1, 1, 0, False)], "user_id bigint, seq int, cluster_id int, liked boolean")
+    weighted = recommend.cluster_weights(recommend.sessions_from(disliked, KEYS), table)
+    posts = recommend.recommended_posts(weighted, table, KEYS).orderBy("position").collect()
+    assert [p.cluster_id for p in posts] == [2, 3, 1, 0]
+    seen = weighted.selectExpr("*", "array(named_struct('cluster_id', 0, 'post_idx', 0)) AS shown")
+    everything_of_the_chosen = seen.selectExpr("user_id", "answers", "weights", "array(named_struct('cluster_id', 9, 'post_idx', 0)) AS shown")
+    assert recommend.next_post(everything_of_the_chosen, table, KEYS).count() == 1
+    first = weighted.selectExpr("user_id", "cast(array() AS array<struct<seq:int,cluster_id:int,liked:boolean>>) AS answers", "weights", "cast(array() AS array<struct<cluster_id:int,post_idx:int>>) AS shown")
+    assert recommend.next_post(first, table, KEYS).first().cluster_id == 2
 
 
 def test_recommended_posts(data):

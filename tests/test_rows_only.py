@@ -1,21 +1,7 @@
-"""Queries without a DuckDB text: shape and simple properties."""
-
-import pytest
+"""Every registered query has a DuckDB text."""
 
 from verification.registry import ORACLE, QUERIES
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_gives_rows(spark, name):
-    rows = QUERIES[name](spark, "/root/testdata/sf0.01").collect()
-    assert rows
-    if name == "kmeans_topics":
-        assert {r.cluster_id for r in rows} <= set(range(10)) and len({r.Hash for r in rows}) == len(rows)
-    if name == "scored_users":
-        assert all(0 <= r.quality_score <= 10 for r in rows)
-    if name == "feature_importance":
-        assert sum(r.importance for r in rows) == pytest.approx(1)
-    if name == "quality_regression":
-        assert 0 < rows[0].mae <= rows[0].rmse < 5
-    if name == "choose_k":
-        assert [r.k for r in rows] and max(r.silhouette for r in rows) == rows[0].silhouette
+def test_all_have_a_text():
+    assert set(QUERIES) == set(ORACLE)

@@ -23,7 +23,8 @@ LONG = "x" * 120
         ("Happy day " + LONG, {"low_effort", "strict_spam"}),
         ("you can claim it", {"short_claim", "strict_spam"}),
         ("you can claim it " + LONG, set()),
-        ("buy $BTC now " + LONG, {"cashtag", "strict_spam"}),
+        ("buy $BTC now " + LONG, set()),
+        ("%$BTC%", {"cashtag", "strict_spam"}),
         ("costs $B or $12 " + LONG, set()),
         ("look at that Window " + LONG, {"crypto", "strict_spam"}),
         ("a fresh CoIn " + LONG, {"loose_spam", "crypto", "strict_spam"}),

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import hash_hex as hex_of
 from gleanwell.functions.scalars import quality_category
 from gleanwell.operators import clusters, labeling, quality_model, vectors
-from gleanwell.session import materialized
-from gleanwell.sources.tables import spread_small_input
+from gleanwell.operators.features import FEATURES
+from gleanwell.session import materialized, scratch_folder
+from gleanwell.sources import sinks, tables
 from verification.catalog import joined, query, rounded
 from verification.fixtures import Fixtures, with_views
 from verification.queries_users import TO_LABEL, all_features, to_label
 
-MODEL_ROUNDS = 20  # boosting rounds of the registered queries; the library's default is 100
-QUERY_TOPICS = 10
 
 
 @query(with_views("scores") + "SELECT fid, quality_score, is_quality_user, quality_category FROM scores")
@@ -255,47 +255,119 @@ def regression_metrics(fx: Fixtures):
     return rounded(quality_model.regression_metrics(guessed(fx), "score", "guessed_score"))
 
 
+@query(with_views("labeled") + "SELECT fid, quality_score FROM labeled")
+def training_rows(fx: Fixtures):
+    """Labels written as JSON lines by several tasks, read back as training does."""
+    path = scratch_folder(fx.spark, "labels")
+    sinks.write_json(fx.labeled().repartition(4), path)
+    return tables.read_first_present(fx.spark, [f"{path}-none", path], tables.LABELED_USERS).select("fid", "quality_score")
+
+
+@query(with_views("scores") + "SELECT fid, quality_score FROM scores WHERE quality_score >= 7")
+def best_users_csv(fx: Fixtures):
+    path = scratch_folder(fx.spark, "best-users")
+    sinks.write_high_quality_users(fx.scores(), path)
+    return fx.spark.read.option("header", True).schema("fid string, quality_score double").csv(path)
+
+
+@query(with_views("scores") + "SELECT fid, quality_score, is_quality_user, quality_category FROM scores")
+def scores_written(fx: Fixtures):
+    path = scratch_folder(fx.spark, "scores")
+    sinks.write_parquet(fx.scores(), path)
+    return tables.read_parquet(fx.spark, path, view="written_scores").sparkSession.sql("SELECT * FROM written_scores")
+
+
+@query(
+    with_views("clustered")
+    + """SELECT Hash AS hash_hex, CAST(Fid AS BIGINT) AS fid, CAST(len(embedding) AS INTEGER) AS numbers,
+      round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total,
+      quality_reactions AS reaction_count, quality_replies AS reply_count FROM clustered"""
+)
+def embeddings_written(fx: Fixtures):
+    path = scratch_folder(fx.spark, "embeddings")
+    posts = fx.clustered().select(
+        F.col("Hash").alias("hash_hex"), F.col("Fid").alias("fid"), F.col("Text").alias("text"), "embedding",
+        F.col("quality_reactions").alias("reaction_count"), F.col("quality_replies").alias("reply_count"),
+    )
+    sinks.write_embeddings(posts, path)
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return tables.read_embeddings(fx.spark, path).select(
+        "hash_hex", "fid", F.size("embedding").alias("numbers"), F.round(total, 4).alias("total"),
+        "reaction_count", "reply_count",
+    )
+
+
 def training(fx: Fixtures):
     return materialized(quality_model.training_data(fx.labeled(), all_features(fx)))
 
 
-@query()
+# Trees, reductions and clusterings have no SQL text. Their queries run them with the full settings
+# over all rows and return what must hold of any right result.
+
+
+@query("SELECT 0 AS class, true AS in_range, true AS adds_up UNION ALL SELECT 1, true, true")
 def quality_classifier(fx: Fixtures):
     data = training(fx)
-    model = quality_model.train_classifier(data, MODEL_ROUNDS)
-    test = model.transform(data.filter("is_test"))
-    return quality_model.classification_report(test, "is_quality", "prediction")
+    test = quality_model.train_classifier(data).transform(data.filter("is_test"))
+    report = quality_model.classification_report(test, "is_quality", "prediction")
+    known = test.groupBy(F.col("is_quality").cast("int").alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    within = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1")]
+    return report.join(known, "class").select(
+        "class", (within[0] & within[1] & within[2]).alias("in_range"), (F.col("support") == F.col("n")).alias("adds_up")
+    )
 
 
-@query()
+@query("SELECT true AS ordered, true AS below_the_span")
 def quality_regression(fx: Fixtures):
     data = training(fx)
-    model = quality_model.train_regressor(data, MODEL_ROUNDS)
-    test = model.transform(data.filter("is_test"))
-    return quality_model.regression_metrics(test, "quality_score", "prediction")
+    test = quality_model.train_regressor(data).transform(data.filter("is_test"))
+    found = quality_model.regression_metrics(test, "quality_score", "prediction")
+    return found.select(
+        ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))).alias("ordered"), (F.col("rmse") < 5).alias("below_the_span")
+    )
 
 
-@query()
+@query(f"SELECT {len(FEATURES)} AS features, 1e0 AS total, true AS in_order")
 def feature_importance(fx: Fixtures):
-    model = quality_model.train_classifier(training(fx), MODEL_ROUNDS)
-    return quality_model.feature_importance(model, fx.spark)
+    rows = quality_model.feature_importance(quality_model.train_classifier(training(fx)), fx.spark)
+    found = rows.agg(
+        F.count(F.lit(1)).cast("int").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.collect_list("importance").alias("all"),
+    )
+    return found.select("features", "total", (F.col("all") == F.sort_array("all", asc=False)).alias("in_order"))
 
 
-@query()
+@query("SELECT true AS some, 0 AS out_of_range, 0 AS wrong_flag, 0 AS wrong_bin, 0 AS changed_by_saving")
 def scored_users(fx: Fixtures):
-    model = quality_model.train_regressor(training(fx), MODEL_ROUNDS)
-    return quality_model.score_users(all_features(fx), model)
+    """Scores of all authors by the saved model, loaded again, beside those of the model itself."""
+    model = quality_model.train_regressor(training(fx))
+    path, users = scratch_folder(fx.spark, "models"), materialized(all_features(fx))
+    quality_model.save_models({"regressor": model}, path)
+    scored = quality_model.score_users(users, quality_model.load_model(path, "regressor"))
+    own = quality_model.score_users(users, model).select("fid", F.col("quality_score").alias("own"))
+    score = F.col("quality_score")
+    wrong = lambda test: F.count_if(~test).cast("int")
+    return scored.join(own, "fid").agg(
+        (F.count(F.lit(1)) > 0).alias("some"), wrong(score.between(0, 10)).alias("out_of_range"),
+        wrong(F.col("is_quality_user") == (score >= 5).cast("int")).alias("wrong_flag"),
+        wrong(F.col("quality_category") == quality_category(score)).alias("wrong_bin"),
+        wrong(score == F.col("own")).alias("changed_by_saving"),
+    )
 
 
-@query()
+@query("SELECT 0e0 AS worst_mean, 0e0 AS worst_deviation")
 def scaled_features(fx: Fixtures):
+    """Means of zero and deviations of one over the rows that the scaler was fitted on."""
     data = training(fx)
-    scaled = quality_model.fit_scaler(data).transform(data)
-    return scaled.select("fid", vector_to_array("scaled").alias("scaled"))
+    scaled = quality_model.fit_scaler(data).transform(data.filter("NOT is_test"))
+    each = scaled.select(F.posexplode(vector_to_array("scaled")).alias("i", "x")).groupBy("i").agg(
+        F.abs(F.avg("x")).alias("m"), F.stddev_samp("x").alias("d"))
+    off = F.when(F.col("d") > 0, F.abs(F.col("d") - 1)).otherwise(F.lit(0.0))  # a constant stays zero
+    return each.agg(F.round(F.max("m"), 6).alias("worst_mean"), F.round(F.max(off), 6).alias("worst_deviation"))
 
 
 def texts(fx: Fixtures):
-    return spread_small_input(fx.table("documents")).select(
+    return fx.table("documents").select(
         F.col("doc_id").cast("string").alias("Hash"), F.col("text").alias("Text")
     )
 
@@ -320,9 +392,11 @@ def encoded_vectors(fx: Fixtures):
     )
 
 
-@query()
+@query("SELECT CAST(doc_id AS VARCHAR) AS Hash, 1e0 AS norm FROM documents")
 def hashed_vectors(fx: Fixtures):
-    return vectors.hashed_vectors(texts(fx)).select("Hash", vector_to_array("features").alias("features"))
+    vector = vector_to_array("features")
+    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
+    return vectors.hashed_vectors(texts(fx)).select("Hash", F.round(norm, 6).alias("norm"))
 
 
 def reduced(fx: Fixtures):
@@ -332,28 +406,63 @@ def reduced(fx: Fixtures):
                                   "quality_reactions", "quality_replies", "cast_score")), model
 
 
-@query()
+@query(with_views("clustered") + f"SELECT count(*) AS posts, {vectors.COMPONENTS} AS components, 0e0 AS worst_mean, 0 AS out_of_order FROM clustered")
 def pca_scores(fx: Fixtures):
-    df, model = reduced(fx)
-    return df.select(
-        "Hash", vector_to_array("reduced").alias("reduced"),
-        F.lit(vectors.explained_variance(model)).alias("explained_variance"),
+    df, _ = reduced(fx)
+    each = df.select(F.posexplode(vector_to_array("reduced")).alias("i", "x")).groupBy("i").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.var_samp("x").alias("v"))
+    before = F.lag("v").over(Window.orderBy("i"))  # one row per component
+    return each.withColumn("rises", F.coalesce(F.col("v") > before + 1e-9, F.lit(False))).agg(
+        F.max("n").alias("posts"), F.count(F.lit(1)).cast("int").alias("components"),
+        F.round(F.max(F.abs("m")), 6).alias("worst_mean"), F.count_if("rises").cast("int").alias("out_of_order"),
+    )
+
+
+def clustering_facts(fx: Fixtures, df, model):
+    """Posts, topics in use, posts that are nearer to another centre, and the distance column's faults."""
+    placed = model.transform(df).withColumn("vector", vector_to_array("reduced"))
+    own = clusters.distance_to_centre(placed, vectors.centres_of(model, fx.spark), "vector")
+    every = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    near = F.array_min(F.transform(every, lambda c: F.sqrt(F.aggregate(
+        F.zip_with(c, F.col("vector"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))))
+    return own.agg(
+        F.count(F.lit(1)).alias("posts"), (F.count_distinct("cluster_id") <= model.summary.k).alias("few_enough"),
+        F.count_if(F.col("distance_to_center") > near + 1e-6).alias("misplaced"),
     )
 
 
-@query()
+CLUSTERING = "SELECT count(*) AS posts, true AS few_enough, 0 AS misplaced FROM clustered"
+
+
+@query(with_views("clustered") + CLUSTERING)
 def kmeans_topics(fx: Fixtures):
+    """All starts and steps of the library's defaults; saved and loaded before it is used."""
+    df, reducer = reduced(fx)
+    path = scratch_folder(fx.spark, "clustering")
+    best = vectors.best_kmeans(df)
+    vectors.save_clustering(best, reducer, path)
+    loaded, _ = vectors.load_clustering(path)
+    facts = clustering_facts(fx, df, best)
+    same = loaded.transform(df).select("Hash", F.col("cluster_id").alias("c")).join(best.transform(df), "Hash")
+    moved = same.agg(F.count_if(F.col("c") != F.col("cluster_id"))).scalar()
+    return facts.withColumn("misplaced", F.col("misplaced") + moved)
+
+
+@query(with_views("clustered") + CLUSTERING)
+def full_topics(fx: Fixtures):
+    """The earlier generation's clustering: more starts and steps."""
     df, _ = reduced(fx)
-    model = vectors.best_kmeans(df, QUERY_TOPICS, restarts=2, iterations=20)
-    posts = model.transform(df).withColumn("vector", vector_to_array("reduced"))
-    placed = clusters.distance_to_centre(posts, vectors.centres_of(model, fx.spark), "vector")
-    return placed.select("Hash", "cluster_id", "distance_to_center")
+    return clustering_facts(fx, df, vectors.full_kmeans(df))
 
 
-@query()
+@query("SELECT " + f"{len(vectors.K_RANGE)} AS tried, true AS in_range, true AS best_first")
 def choose_k(fx: Fixtures):
     df, _ = reduced(fx)
-    return vectors.silhouettes(df, "Hash", ks=range(8, 12), restarts=1)
+    rows = vectors.silhouettes(df, "Hash").agg(F.collect_list("silhouette").alias("all"), F.count_distinct("k").alias("n"))
+    return rows.select(
+        F.col("n").cast("int").alias("tried"), (F.array_min("all").between(-1, 1) & F.array_max("all").between(-1, 1)).alias("in_range"),
+        (F.col("all") == F.sort_array("all", asc=False)).alias("best_first"),
+    )
 
 
 @query(
@@ -362,42 +471,3 @@ def choose_k(fx: Fixtures):
 )
 def vector_spread(fx: Fixtures):
     return rounded(vectors.vector_spread(fx.table("embeddings")))
-
-
-CELL, DENSE, REGION = 0.05, 6, 20
-DENSITY = f"""cells AS (
-  SELECT vec_id, CAST(floor(CAST(embedding[1] AS DOUBLE) / {CELL}e0) AS BIGINT) AS a,
-         CAST(floor(CAST(embedding[2] AS DOUBLE) / {CELL}e0) AS BIGINT) AS b FROM embeddings),
-dense AS (SELECT a, b, count(*) AS n FROM cells GROUP BY a, b HAVING count(*) >= {DENSE}),
-reach AS (
-  SELECT a, b, a || ':' || b AS start FROM dense
-  UNION
-  SELECT d.a, d.b, start FROM reach r JOIN dense d ON abs(r.a - d.a) <= 1 AND abs(r.b - d.b) <= 1),
-regions AS (SELECT a, b, min(start) AS region FROM reach GROUP BY a, b),
-large AS (
-  SELECT region FROM regions r JOIN dense d ON r.a = d.a AND r.b = d.b GROUP BY region HAVING sum(n) >= {REGION}),
-density AS (
-  SELECT vec_id, coalesce(l.region, '-1') AS density_cluster FROM cells c
-  LEFT JOIN regions r ON c.a = r.a AND c.b = r.b LEFT JOIN large l ON r.region = l.region)"""
-
-
-def dense_regions(fx: Fixtures):
-    points = fx.table("embeddings").select(
-        "vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in (0, 1)]
-    )
-    return vectors.density_clusters(points, ["x0", "x1"], CELL, DENSE, REGION)
-
-
-@query("WITH RECURSIVE " + DENSITY + " SELECT vec_id, density_cluster FROM density")
-def density_clusters(fx: Fixtures):
-    return dense_regions(fx).select("vec_id", "density_cluster")
-
-
-@query(
-    "WITH RECURSIVE " + DENSITY
-    + """ SELECT clusters, noise, greatest(20, least(30, clusters)) AS k FROM (
-      SELECT count(DISTINCT density_cluster) FILTER (WHERE density_cluster <> '-1') AS clusters,
-             count(*) FILTER (WHERE density_cluster = '-1') AS noise FROM density)"""
-)
-def guided_k(fx: Fixtures):
-    return vectors.guided_k(dense_regions(fx))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleanwell.functions import rules
 from gleanwell.operators import content, engagement, exports
+from gleanwell.operators.ranking import top_k
+from gleanwell.session import materialized
 from verification.catalog import query, rounded
 from verification.fixtures import LOOSE_REACTIONS, LOOSE_REPLIES, RECENT_FROM, Fixtures, with_views
 
@@ -45,7 +48,7 @@ def contains_any(words: list[str]) -> str:
 
 SHORT_CLAIM = "(length(Text) < 100 AND lower(Text) LIKE '%claim%')"
 LOW_EFFORT = "(" + " OR ".join(f"lower(Text) LIKE '{w}%'" for w in rules.LOW_EFFORT_PREFIXES) + ")"
-CASHTAG = r"regexp_matches(Text, '\$[A-Z]{2,}')"
+CASHTAG = r"regexp_full_match(Text, '(?s)%\$[A-Z]{2,}%')"
 STRICT_SPAM = "(" + " OR ".join(
     [LOW_EFFORT, SHORT_CLAIM, CASHTAG, *[contains_any(w) for w in rules.SPAM_LISTS.values()]]
 ) + ")"
@@ -180,6 +183,25 @@ def top_posts_per_author(fx: Fixtures):
     return rounded(content.top_posts_per_author(scored(fx)))
 
 
+MOST_ENGAGED = 2_500
+
+
+@query(
+    POST_VIEWS + f""" SELECT Hash, engagement_score,
+      CAST(row_number() OVER (ORDER BY engagement_score DESC, Hash) AS INTEGER) AS position
+    FROM engaged QUALIFY position <= {MOST_ENGAGED}"""
+)
+def most_engaged(fx: Fixtures):
+    """A cap that binds among many equal scores, with each row's place in the result's order."""
+    posts = fx.casts().select("Hash", "Fid")
+    engaged = engagement.with_engagement(posts, fx.casts(), fx.reactions(), trusted(fx)).select("Hash", "engagement_score")
+    best = top_k(materialized(engaged), "engagement_score", "Hash", MOST_ENGAGED)
+    place = Window.orderBy("_at")  # over the rows that the cap leaves
+    return best.withColumn("_at", F.monotonically_increasing_id()).select(
+        "Hash", "engagement_score", F.row_number().over(place).alias("position")
+    )
+
+
 def high_quality(fx: Fixtures):
     return content.high_quality_casts(strict(fx), fx.scores())
 
@@ -190,7 +212,7 @@ HIGH = (
       SELECT * FROM (
         SELECT * FROM scored
         QUALIFY row_number() OVER (PARTITION BY Fid ORDER BY cast_score DESC NULLS LAST, Hash) <= 10)
-      ORDER BY cast_score DESC NULLS LAST, Hash LIMIT 100000)"""
+      ORDER BY cast_score DESC NULLS LAST, Hash)"""
 )
 
 

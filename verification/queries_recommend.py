@@ -15,10 +15,11 @@ MIN_SIZE = 20
 SIMILAR = 4
 
 BOOK = """book AS (
-  SELECT cluster_id, 'Theme ' || cluster_id % 4 AS name, top_words, size, avg_quality_score
+  SELECT cluster_id, 'Theme ' || cluster_id % 4 AS name, top_words, size, avg_quality_score,
+         row_number() OVER (ORDER BY avg_cast_score DESC NULLS LAST, cluster_id) AS place
   FROM averages JOIN top_words USING (cluster_id)),
 rep_rows AS (
-  SELECT cluster_id, b.name AS name, position - 1 AS idx, Hash AS hash, CAST(Fid AS BIGINT) AS fid, Text AS text,
+  SELECT cluster_id, b.name AS name, place, b.top_words AS words, position - 1 AS idx, Hash AS hash, CAST(Fid AS BIGINT) AS fid, Text AS text,
          quality_score, quality_reactions, quality_replies,
          quality_score * (quality_reactions + quality_replies * 2) AS appeal
   FROM reps JOIN book b USING (cluster_id))"""
@@ -85,7 +86,7 @@ def strong_signal(fx: Fixtures):
     LEARNT
     + """, heavy AS (
       SELECT user_id, session, asked, cluster_id, name,
-             row_number() OVER (PARTITION BY user_id, session ORDER BY w DESC, cluster_id) AS hr
+             row_number() OVER (PARTITION BY user_id, session ORDER BY w DESC, place) AS hr
       FROM learnt JOIN book USING (cluster_id) WHERE w > 0.1),
     fresh AS (
       SELECT * FROM heavy h WHERE hr <= 10 AND NOT EXISTS (
@@ -101,13 +102,13 @@ def strong_signal(fx: Fixtures):
              arg_min(cluster_id, md5(concat_ws('|', user_id, session, asked, cluster_id, 42))) AS chosen
       FROM candidates GROUP BY ALL),
     unseen AS (
-      SELECT c.user_id, c.session, chosen, r.cluster_id, r.idx, r.hash, r.appeal
+      SELECT c.user_id, c.session, chosen, r.cluster_id, r.place, r.idx, r.hash, r.appeal
       FROM chosen c, rep_rows r
       WHERE NOT EXISTS (SELECT 1 FROM feedback f WHERE f.user_id = c.user_id AND f.session = c.session
                         AND f.cluster_id = r.cluster_id AND f.post_idx = r.idx))
     SELECT user_id, session, cluster_id, CAST(idx AS INTEGER) AS post_idx, hash FROM unseen
     QUALIFY row_number() OVER (PARTITION BY user_id, session ORDER BY
-      cluster_id = chosen DESC, CASE WHEN cluster_id = chosen THEN appeal END DESC NULLS LAST, cluster_id, idx) = 1"""
+      cluster_id = chosen DESC, CASE WHEN cluster_id = chosen THEN appeal END DESC NULLS LAST, place, idx) = 1"""
 )
 def next_post(fx: Fixtures):
     weighted, table = learnt(fx)
@@ -117,21 +118,27 @@ def next_post(fx: Fixtures):
     return recommend.next_post(weighted.join(seen, KEYS), table, KEYS)
 
 
+LISTED = """ranked_reps AS (
+  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY appeal DESC, idx) AS pr FROM rep_rows),
+listed AS (
+  SELECT user_id, session, w.cluster_id AS cluster_id, name, array_to_string(words[1:5], ',') AS cluster_keywords,
+         pr, hash, fid, text, quality_score AS author_quality, quality_reactions, quality_replies,
+         row_number() OVER (PARTITION BY user_id, session ORDER BY w DESC, place, pr) AS position
+  FROM learnt w JOIN ranked_reps r ON w.cluster_id = r.cluster_id WHERE w >= 0.5 AND pr <= 3)"""
+
+
 @query(
-    LEARNT
-    + """, ranked_reps AS (
-      SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY appeal DESC, idx) AS pr FROM rep_rows),
-    listed AS (
-      SELECT user_id, session, w.cluster_id AS cluster_id, name, pr, hash, fid,
-             row_number() OVER (PARTITION BY user_id, session ORDER BY w DESC, w.cluster_id, pr) AS position
-      FROM learnt w JOIN ranked_reps r ON w.cluster_id = r.cluster_id WHERE w >= 0.5 AND pr <= 3)
-    SELECT user_id, session, CAST(position AS INTEGER) AS position, cluster_id, name AS cluster_theme, hash, fid
+    LEARNT + ", " + LISTED
+    + """ SELECT user_id, session, CAST(position AS INTEGER) AS position, cluster_id, name AS cluster_theme,
+      cluster_keywords, hash, fid, text, author_quality, quality_reactions, quality_replies
     FROM listed WHERE position <= 10"""
 )
 def recommended_posts(fx: Fixtures):
     weighted, table = learnt(fx)
-    return recommend.recommended_posts(weighted, table, KEYS).select(
-        *KEYS, "position", "cluster_id", "cluster_theme", "hash", "fid"
+    posts = recommend.recommended_posts(weighted, table, KEYS)
+    return posts.withColumn("cluster_keywords", joined("cluster_keywords", ",")).select(
+        *KEYS, "position", "cluster_id", "cluster_theme", "cluster_keywords", "hash", "fid", "text",
+        "author_quality", "quality_reactions", "quality_replies",
     )
 
 
@@ -204,15 +211,17 @@ def users_to_follow(fx: Fixtures):
 
 
 @query(
-    LEARNT + ", " + ",\n".join([PREFERENCES, FOLLOW])
-    + """, post_counts AS (
-      SELECT user_id, session, least(10, sum(least(3, n))) AS posts FROM learnt w
-      JOIN (SELECT cluster_id, count(*) AS n FROM rep_rows GROUP BY cluster_id) r ON w.cluster_id = r.cluster_id
-      WHERE w >= 0.5 GROUP BY ALL),
-    user_counts AS (SELECT user_id, session, count(*) AS users FROM followed WHERE rank <= 10 GROUP BY ALL)
-    SELECT user_id, session, liked_clusters, coalesce(CAST(posts AS INTEGER), 0) AS posts,
-           coalesce(CAST(users AS INTEGER), 0) AS users
-    FROM given LEFT JOIN post_counts USING (user_id, session) LEFT JOIN user_counts USING (user_id, session)"""
+    LEARNT + ", " + ",\n".join([PREFERENCES, FOLLOW, LISTED])
+    + f""", posts_listed AS (
+      SELECT user_id, session, string_agg(concat_ws(':', cluster_id, name, cluster_keywords, hash, fid, text), ';' ORDER BY position) AS posts
+      FROM listed WHERE position <= 10 GROUP BY ALL),
+    users_listed AS (
+      SELECT user_id, session, string_agg(concat_ws(':', fid, CAST(round(score * 1000 + {SHIFT}) AS BIGINT), themes, sample_post), ';' ORDER BY rank) AS users
+      FROM followed WHERE rank <= 10 GROUP BY ALL)
+    SELECT user_id, session, coalesce(preferred_themes, '') AS preferred_themes, coalesce(top_keywords, '') AS top_keywords,
+           liked_clusters, disliked_clusters, coalesce(posts, '') AS posts, coalesce(users, '') AS users
+    FROM given LEFT JOIN themes_liked USING (user_id, session) LEFT JOIN words_liked USING (user_id, session)
+    LEFT JOIN posts_listed USING (user_id, session) LEFT JOIN users_listed USING (user_id, session)"""
 )
 def combined_output(fx: Fixtures):
     weighted, table = learnt(fx)
@@ -223,11 +232,14 @@ def combined_output(fx: Fixtures):
         recommend.users_to_follow(feedback, table, KEYS),
         KEYS,
     )
+    told = [joined(F.col(f"preferences.{c}").cast("array<string>"), ",").alias(c)
+            for c in ("preferred_themes", "top_keywords", "liked_clusters", "disliked_clusters")]
+    post = lambda p: F.concat_ws(":", p["cluster_id"], p["cluster_theme"], joined(p["cluster_keywords"], ","), p["hash"], p["fid"], p["text"])
+    user = lambda u: F.concat_ws(":", u["fid"], F.round(u["score"] * 1000 + SHIFT).cast("bigint"), joined(u["themes"], ","), u["sample_post"])
     return nested.select(
-        *KEYS,
-        joined(F.col("preferences.liked_clusters").cast("array<string>"), ",").alias("liked_clusters"),
-        F.coalesce(F.size("recommendations"), F.lit(0)).alias("posts"),
-        F.coalesce(F.size("recommended_users"), F.lit(0)).alias("users"),
+        *KEYS, *told,
+        F.coalesce(joined(F.transform("recommendations", post), ";"), F.lit("")).alias("posts"),
+        F.coalesce(joined(F.transform("recommended_users", user), ";"), F.lit("")).alias("users"),
     )
 
 
