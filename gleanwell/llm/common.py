@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import re
-import uuid
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwell.session import ensure_checkpoint_dir
+from gleanwell.session import scratch_folder
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -18,8 +17,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the checkpoint folder that the cluster shares."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    return scratch_folder(spark, name)
 
 
 def saved(df: DataFrame, name: str = "table") -> DataFrame:
@@ -60,6 +58,11 @@ def word_list(text: Column | str) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
+def count_of(text: Column, characters: str) -> Column:
+    """How many characters of a text are in a class such as ``A-Z``: what is left without the others."""
+    return F.length(F.regexp_replace(text, f"[^{characters}]+", ""))
+
+
 def text_key(text: Column | str) -> Column:
     """A 64-bit digest of a text that, beside a document's id, tells rows of one id apart."""
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))

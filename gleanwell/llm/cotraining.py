@@ -7,7 +7,6 @@ calibrated on labels that no round has seen and their log odds are added.
 
 from __future__ import annotations
 
-import string
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -15,7 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanwell.llm.common import BLANKS, dropped, saved, word_list
+from gleanwell.llm.common import count_of, dropped, saved, word_list
 
 BUCKETS = 32  # of hashed word endings and marks in the text view
 SOURCES = 16  # of hashed sources in the metadata view
@@ -34,14 +33,14 @@ def text_view(text: Column) -> Column:
     words = word_list(body)
 
     def of(words: Column) -> Column:
-        n, size = F.size(words), F.greatest(F.length(F.translate(body, BLANKS, "")), F.lit(1))
-        share = lambda chars: (F.length(body) - F.length(F.translate(body, chars, ""))) / size
+        n, size = F.size(words), F.greatest(F.length(F.array_join(words, "")), F.lit(1))
+        share = lambda chars: count_of(body, chars) / size
         per_word = lambda value: value / F.greatest(n, F.lit(1))
         lines = F.split(body, "\n")
         return F.array(
             F.log1p(n.cast("double")), per_word(size), per_word(F.size(F.array_distinct(words))),
-            share(string.ascii_uppercase), share(string.digits), share("!"), share("#*$%&|<>"),
-            share(".,;:?"), share("'\"()[]{}"), share("|"), share("_/\\=+~^@"),
+            share("A-Z"), share("0-9"), share("!"), share("#*$%&|<>"),
+            share(".,;:?"), share("'\"()\\[\\]{}"), share("|"), share("_/=+~@"),
             F.size(F.array_distinct(lines)) / F.size(lines), F.log1p(F.size(lines).cast("double")),
         )
 
