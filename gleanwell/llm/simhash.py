@@ -74,7 +74,8 @@ def links(prints: DataFrame) -> DataFrame:
     ))
     probes = prints.select(F.col("fp").alias("a"), part).select("a", "half.part", near.alias("value"))
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    hits = probes.join(table, ["part", "value"]).filter((F.col("a") < F.col("b")) & (distance <= MAX_BITS))
+    # estimates know nothing of the 66 rows a fingerprint becomes, so neither side may be broadcast
+    hits = probes.hint("merge").join(table.hint("merge"), ["part", "value"]).filter((F.col("a") < F.col("b")) & (distance <= MAX_BITS))
     return hits.select("a", "b").distinct()
 
 
