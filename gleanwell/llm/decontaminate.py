@@ -27,6 +27,7 @@ THRESHOLD = 0.6  # of the score that an item gives itself
 SHINGLE = 5
 OVERLAP = 0.8  # of the item's shingles
 PART_OVERLAP = 0.5  # of those of the question and of the answer
+FEW_WORDS = 3 * SHINGLE - 1  # below it one changed word can hit more than half of a part's runs
 PASSAGE = 64  # words of a step; a passage is two steps, so an item up to one step lies in one whole
 BLOCK = 8  # items whose weights share a maximum
 SHARD_BYTES = 4 << 20  # item text of an index that is sent to the tasks at once
@@ -70,8 +71,10 @@ class ItemIndex:
             own = sum(weights.values())
             q, a = question_and_answer(text)
             split = [shingles(normal_words(p.encode())) for p in (text, q, a)]
+            parted = [normal_words(p.encode()) for p in (q, a)]
+            few = [set(), *[set(p) if len(p) < FEW_WORDS else set() for p in parted]]
             number = len(self.items)
-            self.items.append((item_id, split, len(words)))
+            self.items.append((item_id, split, few, len(words)))
             postings += [(term_of.setdefault(t, len(term_of)), number, w / own) for t, w in weights.items()]
         self.terms = term_of
         n, blocks = len(term_of), -(-len(self.items) // BLOCK)
@@ -131,11 +134,12 @@ class ItemIndex:
         runs: dict[int, set[bytes]] = {}
         for i in found.tolist():
             shares = []
-            for wanted in self.items[i][1]:
+            for wanted, few in zip(*self.items[i][1:3]):
                 size = len(next(iter(wanted)).split(b" ")) if wanted else 0
                 if size not in runs:
                     runs[size] = {b" ".join(held[j : j + size]) for j in range(len(held) - size + 1)} if size else set()
-                shares.append(len(wanted & runs[size]) / len(wanted) if wanted else 1.0)
+                share = len(wanted & runs[size]) / len(wanted) if wanted else 1.0
+                shares.append(max(share, len(few.intersection(held)) / len(few)) if few else share)
             if shares[0] >= OVERLAP and min(shares[1:]) >= PART_OVERLAP:
                 leaks[text, i] = max(leaks.get((text, i), ()), (float(scores[i]), *shares))
 

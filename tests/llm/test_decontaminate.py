@@ -90,3 +90,13 @@ def test_empty(spark):
     assert decontaminate.without_leaks(table(spark, docs), none).count() == len(docs)
     some = spark.createDataFrame(items, "item_id long, text string")
     assert decontaminate.leaks(table(spark, []), some).collect() == []
+
+
+def test_one_changed_word_in_a_short_answer_hides_no_item(spark):
+    rnd = random.Random(8)
+    question, answer = sentence(rnd, 40), "Four zulu kilo romeo tango."
+    benchmark = spark.createDataFrame([(1, f"{question} {answer}")], "item_id long, text string")
+    docs = [(i, f"{question} {answer.replace(w, 'other')}", "en", "s", 0) for i, w in enumerate(["zulu", "kilo", "romeo"])]
+    assert sorted(r.doc_id for r in decontaminate.leaks(table(spark, docs), benchmark).collect()) == [0, 1, 2]
+    gone = [(9, f"{question} Nothing here is the same.", "en", "s", 0)]
+    assert decontaminate.leaks(table(spark, gone), benchmark).collect() == []
