@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from gleanwell.llm.common import count_of, dropped, saved, word_list
 
-BUCKETS = 32  # of hashed word endings and marks in the text view
 SOURCES = 16  # of hashed sources in the metadata view
 LANGUAGES = 8
 ROUNDS = 3
@@ -40,7 +39,7 @@ def text_view(text: Column) -> Column:
         return F.array(
             F.log1p(n.cast("double")), per_word(size), per_word(F.size(F.array_distinct(words))),
             share("A-Z"), share("0-9"), share("!"), share("#*$%&|<>"),
-            share(".,;:?"), share("'\"()\\[\\]{}"), share("|"), share("_/=+~@"),
+            share(".,;:?"), share("'\"()\\[\\]{}"), share("|"), share("_/\\\\=+~^@"),
             F.size(F.array_distinct(lines)) / F.size(lines), F.log1p(F.size(lines).cast("double")),
         )
 

@@ -49,3 +49,9 @@ def test_expression_is_the_models_probability(spark):
     own = data.withColumn("p", cotraining._probability(cotraining._margin(model, "v")))
     for r in model.transform(own).select("p", "probability").collect():
         assert r.p == pytest.approx(r.probability[1])
+
+
+def test_marks_of_every_class_count(spark):
+    given = spark.createDataFrame([("ab^\\@",), ("ab@",)], "text string")
+    caret, plain = (r[0][11 - 1] for r in given.select(cotraining.text_view(cotraining.F.col("text"))).collect())
+    assert caret == pytest.approx(3 / 5) and plain == pytest.approx(1 / 3)
