@@ -143,6 +143,7 @@ def judged_spans(scanned: DataFrame) -> DataFrame:
 def document_secrets(docs: DataFrame, **columns) -> DataFrame:
     """Per document: counts, the digest of the base spans, all spans, and verdict counts.
 
+    n_repositories is the largest count of repositories that hold one of the document's values.
     Base spans always stay. A candidate of another kind is added if its value is no copied example.
     """
     scanned = scan(docs, **columns)
@@ -155,6 +156,7 @@ def document_secrets(docs: DataFrame, **columns) -> DataFrame:
         F.count_if(keep & (F.col("kind") >= BASE)).alias("n_added"),
         F.count_if(F.col("verdict") == "owner_specific").alias("n_owner_specific"),
         F.count_if(F.col("verdict") == "example").alias("n_examples"),
+        F.max("n_repositories").alias("n_repositories"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(keep, F.struct("start", "kind", name.alias("name"))))), lambda s: s["name"]), ",").alias("spans"),
     )
     counts = [c for c in by_row.columns if c.startswith("n_")]
