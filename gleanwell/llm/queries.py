@@ -89,6 +89,27 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_tokens(write_tokens(docs, tokenizer_path(), TOKENIZER_END))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with the more frequent words that they are slips of."""
+    from gleanwell.llm.spelling import slipped, variants
+
+    return variants(table(spark, folder, "documents"), spelled=slipped)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, one in ten made periodic first."""
+    from gleanwell.llm.periodic_runs import document_runs, tiled
+
+    return document_runs(table(spark, folder, "documents"), rewrite=tiled)
+
+
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document, with base counts and digest."""
+    from gleanwell.llm.personal_data import document_personal_data
+
+    return document_personal_data(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_mixture": op1_mixture,
     "op2_secrets": op2_secrets,
@@ -100,6 +121,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
+    "op11_spelling": op11_spelling,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_personal_data": op13_personal_data,
 }
 ORACLE: dict[str, str] = {
     "op8_warc": """
