@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs
@@ -20,10 +22,25 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return scratch_folder(spark, name)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Exchanges of the queries planned inside are deleted when each has ended, not when the driver collects garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def saved(df: DataFrame, name: str = "table") -> DataFrame:
-    """The rows written once to the shared folder and read back, which ends their lineage."""
+    """The rows written once to the shared folder and read back, which ends their lineage and frees their exchanges."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,12 +1,19 @@
-"""Near copies by the exact Jaccard similarity of word shingles, found with a prefix filter.
-
-The shingles of all texts have one order, rare ones first. Two texts that are similar enough share
-a shingle among the first few of each (the prefix), so an equi-join on those finds every pair; each
-pair is then checked on its texts. Nothing is lost, whatever the order is: it only sets how many
-pairs are checked. Rarity is read from counts per hash cell, so the order needs no table of shingles.
-
-What counts is which texts are connected. First each text is checked against one text per shared
-shingle, which joins a large group in one step; then all pairs are met that are not connected yet.
+"""Near copies by the exact Jaccard similarity of word shingles, proposed by SimHash and a prefix filter.
+
+Fingerprints of the shingles, looked up by multi-index hashing as in ``simhash``, propose texts that
+are nearly the same. They cannot propose all: at a similarity of 0.8 one bit in seven differs. The
+others come from a prefix filter. The shingles of all texts have one order, rare ones first; two texts
+that are similar enough share a shingle among the first few of each (the prefix), so an equi-join on
+those finds every pair, whatever the order is: it only sets how many are checked. Rarity is read from
+counts per hash cell, so the order needs no table of shingles.
+
+A pair is checked on parity bits first: every shingle flips one bit of its text's bits, so texts differ
+in at least as many shingles as bits. That refuses most pairs for some bytes a text and no similar one.
+What passes is checked on the texts.
+
+What counts is which texts are connected. Proposals of SimHash come first, then each text is checked
+against one text of those with which it shares a shingle, which joins a large group in one step; then
+all pairs are met that are not connected yet.
 """
 
 from __future__ import annotations
@@ -17,15 +24,16 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwell.llm import simhash
 from gleanwell.llm.common import dropped, parts, saved, text_key, texts_of
 from gleanwell.llm.graph import contracted, smallest_reachable
 
 SHINGLE = 5
 SIMILAR = (4, 5)  # Jaccard similarity from which texts are linked, as a fraction
-CELLS = 1 << 20  # counts that tell rare shingles from frequent ones
+CELLS = 1 << 22  # counts that tell rare shingles from frequent ones
 SLICES = 64
 SEED = 42
 
@@ -132,9 +140,61 @@ def possible(n: Column, k: Column, m: Column, l: Column) -> Column:
     return (F.least(n - k, m - l) * (part + whole) >= (n + m) * part) & (F.least(n, m) * whole >= F.greatest(n, m) * part)
 
 
+def parity_bits(hashes: np.ndarray) -> bytes:
+    """One bit for about each shingle, set if an odd number of shingles falls on it."""
+    width = 64
+    while width < len(hashes):
+        width *= 2
+    odd = np.bincount((hashes % width).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of shingles that only one of two texts has. The wider bits are folded."""
+    a, b = (np.frombuffer(v, dtype=np.uint8) for v in ((x, y) if len(x) >= len(y) else (y, x)))
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def described(texts: DataFrame) -> DataFrame:
+    """(node, n, fp, bits) of every text: number of shingles, their fingerprint and parity bits; saved."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            found = [shingle_hashes(t) for t in texts_of(batch, "text")]
+            prints = np.array([simhash.majority(h) for h in found], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([len(h) for h in found], pa.int32()), pa.array(prints), pa.array(map(parity_bits, found), pa.binary())],
+                ["node", "n", "fp", "bits"])
+
+    return saved(texts.select("node", "text").mapInArrow(run, "node long, n int, fp long, bits binary"), "described")
+
+
+def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those of the different pairs (a, b) whose sizes and parity bits let them be similar, saved.
+
+    Similar texts of n and m shingles differ in at most (n + m) / 9 of them.
+    """
+    part, whole = SIMILAR
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, x, y = (batch.column(c).to_pylist() for c in ("n", "m", "x", "y"))
+            keep = [differing(x[i], y[i]) * (part + whole) <= (n[i] + m[i]) * (whole - part) for i in range(len(n))]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = saved(pairs.filter("a <> b").distinct(), "pairs")
+    both = pairs.join(nodes.select(F.col("node").alias("a"), "n", F.col("bits").alias("x")), "a")
+    both = both.join(nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y")), "b")
+    both = both.filter(F.least("n", "m").cast("long") * whole >= F.greatest("n", "m").cast("long") * part)
+    passed = saved(both.select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long"), "likely")
+    dropped(pairs)
+    return passed
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose texts are similar, saved."""
-    pairs = saved(pairs.distinct(), "pairs")
+    """Those of the different saved pairs (a, b) whose texts are similar, saved. The pairs are dropped."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     held = saved(texts.join(wanted, "node", "left_semi"), "held")
 
@@ -147,51 +207,103 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = both.join(held.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
     links = saved(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
     dropped(held)
+    dropped(pairs)
     return links
 
 
+def ordered(a: Column | str, b: Column | str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def same_prints(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) that SimHash proposes: texts of one fingerprint, and of two that few bits tell apart."""
+    prints = saved(nodes.groupBy("fp").agg(F.min("node").alias("first")), "prints")
+    one = nodes.join(prints, "fp").select(*ordered("node", "first"))
+    near = simhash.links(prints)
+    near = near.join(prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a")
+    near = near.join(prints.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
+    return one.unionByName(near.select(*ordered("x", "y")))
+
+
+def shared_prefixes(texts: DataFrame) -> DataFrame:
+    """Prefix rows of shingles that several texts have in their prefix, each with the smallest such node; saved.
+
+    Counts are written before they are joined, so that both sides are bare exchanges and a frequent
+    shingle is split.
+    """
+    rows = saved(prefixes(texts), "prefixes")
+    counted = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("node").alias("lead"))
+    several = saved(counted.filter("texts > 1").drop("texts"), "several")
+    table = saved(rows.join(several, "shingle"), "shared")
+    dropped(rows)
+    dropped(several)
+    return table
+
+
+def rooted(table: DataFrame, near: DataFrame, node: str, root: str) -> DataFrame:
+    """Adds the component of a node column under the links found so far; an unlinked node is its own."""
+    return table.join(near.select(F.col("node").alias(node), F.col("root").alias(root)), node, "left").withColumn(root, F.coalesce(root, node))
+
+
 def links(texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of similar texts that connect all that are connected by similar texts.
 
     texts: node and text, one row per different set of shingles.
     """
-    one = Window.partitionBy("shingle")
-    table = prefixes(texts).select(
-        "*", F.count(F.lit(1)).over(one).alias("texts"), F.min(F.struct("k", "node", "n")).over(one).alias("lead"),
-    )
-    table = saved(table.filter("texts > 1").drop("texts"), "prefixes")
-    lead = F.col("lead")
-    star = table.filter((F.col("node") != lead["node"]) & possible(F.col("n"), F.col("k"), lead["n"], lead["k"]))
-    near = confirmed(star.select(F.least("node", lead["node"]).alias("a"), F.greatest("node", lead["node"]).alias("b")), texts)
+    nodes = described(texts)
+    near = confirmed(likely(same_prints(nodes), nodes), texts)
+    table = shared_prefixes(texts)
     roots = contracted(near)
-    rooted = saved(table.drop("lead").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    stars = table.filter("node <> lead").select("node", "lead").distinct()
+    stars = rooted(rooted(stars, roots, "node", "_r"), roots, "lead", "_s").filter("_r <> _s")
+    passed = likely(stars.select(*ordered("node", "lead")), nodes)
+    one = saved(passed.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one")
+    dropped(passed)
+    near = saved(near.unionByName(confirmed(one, texts)), "near")
+    dropped(roots)
+    roots = contracted(near)
+    whole = saved(rooted(table.drop("lead"), roots, "node", "root"), "rooted")
+    dropped(table)
+    dropped(roots)
     # the smaller set of a pair shares more of its own, so its prefix is shorter: n - 2s/(1+s) n + 1
-    part, whole = SIMILAR
-    less = rooted.filter(F.col("k").cast("long") * (part + whole) <= F.col("n").cast("long") * (whole - part))
+    part, of = SIMILAR
+    less = whole.filter(F.col("k").cast("long") * (part + of) <= F.col("n").cast("long") * (of - part))
     less = less.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "k", "root")])
-    rest = less.hint("merge").join(rooted.hint("merge"), "shingle").filter(
+    rest = less.hint("merge").join(whole.hint("merge"), "shingle").filter(
         (F.struct("_n", "_node") < F.struct("n", "node")) & (F.col("_root") != F.col("root"))
         & possible(F.col("_n"), F.col("_k"), F.col("n"), F.col("k"))
     )
-    rest = rest.select(F.least("_node", "node").alias("a"), F.greatest("_node", "node").alias("b"))
-    return near.unionByName(confirmed(rest, texts))
+    more = confirmed(likely(rest.select(*ordered("_node", "node")), nodes), texts)
+    dropped(whole)
+    dropped(nodes)
+    return near.unionByName(more)
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents' own columns, for one row of each group of connected texts: that with the smallest id.
 
     Among rows of that id the one with the smallest text key stays, and one of equal rows. Null ids
-    come last. Texts without words are one group.
+    come last. Texts without words are one group. Only the keys of the rows that stay are written
+    for the result; every other table is deleted before it is returned.
     """
     keys = saved(set_keys(docs, doc_id, text), "set-keys")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
-    stay = keys.groupBy("set_key").agg(first.alias("s")).select(F.col("s.doc_id").alias("_stay"), F.col("s.text_key").alias("_with"))
-    keyed = docs.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("_id"), text_key(text).alias("_key"))
-    one = keyed.join(stay, F.expr("_id <=> _stay AND _key = _with"), "left_semi").dropDuplicates(["_id", "_key"])
-    one = saved(one.withColumn("_node", F.monotonically_increasing_id()), "different")
-    found = saved(links(one.select(F.col("_node").alias("node"), F.col(f"_row.{text}").alias("text"))), "links")
-    linked = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    order = one.select(F.col("_node").alias("node"), F.struct(F.col("_id").isNull().alias("none"), "_id", "_key", "_node").alias("least"))
-    least = smallest_reachable(order.join(linked, "node", "left_semi"), found, "node", "least")
+    firsts = keys.groupBy("set_key").agg(first.alias("s")).select(F.col("s.doc_id").alias("_id"), F.col("s.text_key").alias("_key"))
+    firsts = saved(firsts.withColumn("_node", F.monotonically_increasing_id()), "firsts")
+    same = "_id <=> _of AND _key = _with"
+    of = firsts.select(F.col("_id").alias("_of"), F.col("_key").alias("_with"), F.col("_node").alias("node"))
+    slim = docs.select(F.col(doc_id).cast("long").alias("_id"), text_key(text).alias("_key"), F.col(text).alias("text"))
+    texts = slim.join(of, F.expr(same)).select("node", "text").dropDuplicates(["node"])
+    texts = saved(texts, "different")
+    dropped(keys)
+    found = saved(links(texts), "links")
+    dropped(texts)
+    linked = found.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_key", "_node").alias("least")
+    least = smallest_reachable(firsts.join(linked, "_node", "left_semi").select(F.col("_node").alias("node"), order), found, "node", "least")
     gone = least.filter(F.col("least._node") != F.col("node")).select(F.col("node").alias("_node"))
-    return one.join(gone, "_node", "left_anti").select("_row.*")
+    stay = saved(firsts.join(gone, "_node", "left_anti").select(F.col("_id").alias("_of"), F.col("_key").alias("_with")), "stay")
+    dropped(firsts)
+    dropped(found)
+    keyed = docs.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("_id"), text_key(text).alias("_key"))
+    return keyed.join(stay, F.expr(same), "left_semi").dropDuplicates(["_id", "_key"]).select("_row.*")

@@ -26,7 +26,11 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     if not words:
         return 0
     runs = zip(*(words[i:] for i in range(size))) if len(words) >= size else [words]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(SEED)), dtype="<u8")
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(SEED)), dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in more than half of the values; zero without any."""
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 4096):
         bits = np.unpackbits(hashes[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

@@ -62,6 +62,39 @@ def test_groups_equal_brute_force(spark):
         assert sorted((r.doc_id for r in out.collect()), key=repr) == expected
 
 
+def test_parity_bits_refuse_no_similar_pair():
+    rnd = random.Random(8)
+    for _ in range(300):
+        a = [f"w{rnd.randint(0, 400)}" for _ in range(rnd.choice([3, 60, 130, 520, 1100]))]
+        b = list(a[: rnd.randint(max(1, 4 * len(a) // 5), len(a))])
+        for _ in range(rnd.randint(0, 1 + len(a) // 40)):
+            b[rnd.randrange(len(b))] = f"v{rnd.randint(0, 9)}"
+        x, y = (near_copies.shingle_hashes(" ".join(t).encode()) for t in (a, b))
+        apart = len(set(x.tolist()) ^ set(y.tolist()))
+        assert near_copies.differing(near_copies.parity_bits(x), near_copies.parity_bits(y)) <= apart
+
+
+def test_long_different_texts_and_a_frequent_shingle(spark):
+    rnd = random.Random(9)
+    long = [[f"w{rnd.randint(0, 10**6)}" for _ in range(6000)] for _ in range(3)]
+    long.append(long[0][:3000] + ["z"] * 20 + long[0][3020:])
+    common = [f"c{i}" for i in range(12)]
+    rows = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(long)]
+    rows += [(100 + i, " ".join([f"u{i}"] + common + [f"x{i}"]), "en", "s", 0) for i in range(300)]
+    expected, pairs = brute_force(rows)
+    assert sorted((r.doc_id for r in near_copies.one_of_each(table(spark, rows)).collect()), key=repr) == expected
+
+
+def test_simhash_proposes_texts_that_are_nearly_the_same(spark):
+    rnd = random.Random(10)
+    base = [f"w{rnd.randint(0, 10**6)}" for _ in range(3000)]
+    rows = [(i, " ".join(base[:i] + [f"v{i}"] + base[i + 1 :])) for i in range(0, 3000, 600)]
+    rows += [(5000, " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(3000)))]
+    nodes = near_copies.described(spark.createDataFrame(rows, "node long, text string"))
+    found = {tuple(r) for r in near_copies.likely(near_copies.same_prints(nodes), nodes).collect()}
+    assert found and all(b < 5000 for _, b in found)
+
+
 def test_stage_removes_a_copy_with_a_few_words_changed(spark):
     rnd = random.Random(5)
     text = [f"w{rnd.randint(0, 10**6)}" for _ in range(200)]
