@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanwell.llm import decontaminate, mixing, near_copies, rule_lists, token_files
-from gleanwell.llm.common import saved
+from gleanwell.llm.common import dropped, saved
 from gleanwell.llm.queries import TOKENIZER_END, table, tokenizer_path
 
 
@@ -20,7 +20,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8): that with the smallest id."""
+    """One document of each group of near copies (five words, similarity 0.8): that with the smallest id.
+
+    SimHash fingerprints propose pairs, a prefix filter those that they miss; all are checked exactly.
+    """
     return near_copies.one_of_each(docs)
 
 
@@ -51,7 +54,10 @@ ORACLE_SQL = None  # learned rules, fingerprints, retrieval and a tokenizer have
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            dropped(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
