@@ -17,7 +17,7 @@ REACTION_POINTS, REPLY_POINTS = 2, 5
 
 
 def fids_scoring_at_least(scores: DataFrame, threshold: float) -> DataFrame:
-    """The author ids whose score reaches the threshold, for semi joins."""
+    """The author ids whose score reaches the threshold, for semi joins; an id may be there several times."""
     return scores.filter(F.col("quality_score") >= threshold).select("fid")
 
 

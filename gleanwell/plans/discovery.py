@@ -32,7 +32,7 @@ def cluster_posts(
     """Posts with a cluster and their distance to its centre. Models are saved beside them."""
     located, reducer = vectors.reduced(with_vectors(posts, encoder, prefix), components)
     located = materialized(located.drop("features"))
-    kmeans = vectors.best_kmeans(located, k, restarts)
+    kmeans = vectors.batch_kmeans(located, k, restarts)
     vectors.save_clustering(kmeans, reducer, f"{out}/models")
     placed = kmeans.transform(located).withColumn("vector", vector_to_array("reduced"))
     centres = vectors.centres_of(kmeans, posts.sparkSession)

@@ -50,7 +50,8 @@ def test_empty_parent_is_top_level(spark):
 
 def test_repeated_scores_do_not_multiply_rows_but_fail_the_join(spark):
     double = scores(spark, [("1", 5.0), ("1", 6.0)])
-    assert engagement.fids_scoring_at_least(double, 4).count() == 1
+    semi = scores(spark, [("1", 0.0)]).join(engagement.fids_scoring_at_least(double, 4), "fid", "left_semi")
+    assert semi.count() == 1
     with pytest.raises(Exception, match="more than one score"):
         content.one_row_per_fid(double).collect()
 

@@ -426,7 +426,7 @@ def clustering_facts(fx: Fixtures, df, model):
     near = F.array_min(F.transform(every, lambda c: F.sqrt(F.aggregate(
         F.zip_with(c, F.col("vector"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))))
     return own.agg(
-        F.count(F.lit(1)).alias("posts"), (F.count_distinct("cluster_id") <= model.summary.k).alias("few_enough"),
+        F.count(F.lit(1)).alias("posts"), (F.count_distinct("cluster_id") <= model.k).alias("few_enough"),
         F.count_if(F.col("distance_to_center") > near + 1e-6).alias("misplaced"),
     )
 
@@ -436,10 +436,10 @@ CLUSTERING = "SELECT count(*) AS posts, true AS few_enough, 0 AS misplaced FROM
 
 @query(with_views("clustered") + CLUSTERING)
 def kmeans_topics(fx: Fixtures):
-    """All starts and steps of the library's defaults; saved and loaded before it is used."""
+    """Mini-batches with the library's defaults; saved and loaded before it is used."""
     df, reducer = reduced(fx)
     path = scratch_folder(fx.spark, "clustering")
-    best = vectors.best_kmeans(df)
+    best = vectors.batch_kmeans(df)
     vectors.save_clustering(best, reducer, path)
     loaded, _ = vectors.load_clustering(path)
     facts = clustering_facts(fx, df, best)
@@ -455,13 +455,14 @@ def full_topics(fx: Fixtures):
     return clustering_facts(fx, df, vectors.full_kmeans(df))
 
 
-@query("SELECT " + f"{len(vectors.K_RANGE)} AS tried, true AS in_range, true AS best_first")
+@query(f"SELECT {len(vectors.K_RANGE)} AS tried, true AS in_range, true AS best_first, true AS first_beats_the_last")
 def choose_k(fx: Fixtures):
     df, _ = reduced(fx)
-    rows = vectors.silhouettes(df, "Hash").agg(F.collect_list("silhouette").alias("all"), F.count_distinct("k").alias("n"))
-    return rows.select(
-        F.col("n").cast("int").alias("tried"), (F.array_min("all").between(-1, 1) & F.array_max("all").between(-1, 1)).alias("in_range"),
-        (F.col("all") == F.sort_array("all", asc=False)).alias("best_first"),
+    s, after = F.col("silhouette"), F.lead("silhouette").over(Window.orderBy("rank"))  # one row per k
+    ranked = vectors.silhouettes(df, "Hash").withColumn("falls", F.coalesce(s >= after, F.lit(True)))
+    return ranked.agg(
+        F.count(F.lit(1)).cast("int").alias("tried"), F.min(s.between(-1, 1)).alias("in_range"), F.min("falls").alias("best_first"),
+        (F.max(F.when(F.col("rank") == 1, s)) > F.min(s)).alias("first_beats_the_last"),
     )
 
 
