@@ -3,7 +3,8 @@
 Reading plans a partition per group of files, parses each record's headers first and goes on to
 the payload only for records that the pushed predicates leave. Written files are gzip members, one
 per record, whose extra field holds the member's length, so an unwanted record is jumped over
-without reading or inflating the rest of it. Other gzip and plain archives are read as well.
+without reading or inflating the rest of it. Other gzip and plain archives are read as well. A
+record that is cut off, or whose declared length or digest does not fit, fails the read by name.
 """
 
 from __future__ import annotations
@@ -87,20 +88,34 @@ def bare(value: str | None) -> str | None:
 # ---------------------------------------------------------------- records from files
 
 
+class DamagedArchive(ValueError):
+    """A record that is cut off or contradicts its own headers, with its place; nothing of it is returned."""
+
+
 def records(file: pa.NativeFile, size: int, wanted) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of the records whose fields pass ``wanted``; others are passed by."""
+    """(fields, block) of the records whose fields pass ``wanted``; others are passed by.
+
+    A record whose head or block is not all there, whose length is no number or whose compression is
+    broken raises ``DamagedArchive``: an archive is read whole or not at all. Empty files and blank
+    lines between records are no records.
+    """
     at = 0
     while at < size:
         file.seek(at)
         first = file.read(FIRST)
-        if first[:2] != b"\x1f\x8b":
-            at, found = _plain(file, at, first, wanted)
-        elif first[3] & 4 and first[12:14] == b"WL":
-            (length,) = struct.unpack_from("<Q", first, 16)
-            found = _member(file, first, length, wanted)
-            at += length
-        else:
-            at, found = _stream(file, at, wanted)
+        try:
+            if first[:2] != b"\x1f\x8b":
+                at, found = _plain(file, at, size, first, wanted)
+            elif len(first) > 24 and first[3] & 4 and first[12:14] == b"WL":
+                (length,) = struct.unpack_from("<Q", first, 16)
+                if not 24 < length <= size - at:
+                    raise DamagedArchive("the member is cut off")
+                found = _member(file, first, length, wanted)
+                at += length
+            else:
+                at, found = _stream(file, at, wanted)
+        except (DamagedArchive, zlib.error) as wrong:
+            raise DamagedArchive(f"record at byte {at}: {wrong}") from wrong
         if found:
             yield found
 
@@ -110,34 +125,61 @@ def _split(data: bytes) -> tuple[dict[str, str], int] | None:
     return (parsed(data[:end]), end + 4) if end >= 0 else None
 
 
-def _plain(file, at: int, data: bytes, wanted):
+def _length(fields: dict[str, str]) -> int:
+    text = fields.get("Content-Length", "")
+    if not (text.isascii() and text.isdigit()):
+        raise DamagedArchive(f"Content-Length is {text[:40]!r}")
+    return int(text)
+
+
+def _whole(block: bytes, length: int) -> bytes:
+    if len(block) < length:
+        raise DamagedArchive(f"{len(block)} of {length} bytes are there")
+    return block
+
+
+def _plain(file, at: int, size: int, data: bytes, wanted):
+    while not data.lstrip(b"\r\n") and (more := file.read(FIRST)):
+        data += more
     skip = len(data) - len(data.lstrip(b"\r\n"))
+    if skip == len(data):
+        return size, None
     while (head := _split(data[skip:])) is None:
         more = file.read(FIRST)
         if not more:
-            return at + len(data) + 1, None
+            raise DamagedArchive("the head does not end")
         data += more
     fields, start = head
-    length = int(fields.get("Content-Length", 0))
+    length = _length(fields)
+    if at + skip + start + length > size:
+        raise DamagedArchive(f"{size - at - skip - start} of {length} bytes are there")
     after = at + skip + start + length + 4
     if not wanted(fields):
         return after, None
     file.seek(at + skip + start)
-    return after, (fields, file.read(length))
+    return after, (fields, _whole(file.read(length), length))
 
 
 def _member(file, first: bytes, length: int, wanted):
     inflate = zlib.decompressobj(-15)
-    data = inflate.decompress(first[24:length], FIRST)
+    data, left = inflate.decompress(first[24:length], FIRST), length - min(len(first), length)
     while (head := _split(data)) is None:
-        rest = inflate.unconsumed_tail or file.read(FIRST)
-        data += inflate.decompress(rest, FIRST)
+        rest = inflate.unconsumed_tail
+        if not rest:
+            rest = file.read(min(FIRST, left))
+            left -= len(rest)
+        more = inflate.decompress(rest, FIRST)
+        if not more and (not rest or inflate.eof):
+            raise DamagedArchive("the head does not end")
+        data += more
     fields, start = head
+    size = _length(fields)
     if not wanted(fields):
         return None
-    rest = inflate.unconsumed_tail + (file.read(length - len(first)) if length > len(first) else b"")
-    data += inflate.decompress(rest) + inflate.flush()
-    return fields, data[start : start + int(fields.get("Content-Length", 0))]
+    data += inflate.decompress(inflate.unconsumed_tail + (file.read(left) if left else b"")) + inflate.flush()
+    if not inflate.eof:
+        raise DamagedArchive("the member does not end")
+    return fields, _whole(data[start : start + size], size)
 
 
 def _stream(file, at: int, wanted):
@@ -150,10 +192,14 @@ def _stream(file, at: int, wanted):
             data += out
             if head is None and (head := _split(data)):
                 keep = wanted(head[0])
-    after = at + max(1, read - len(inflate.unused_data))
-    if head is None or not keep:
+    if not inflate.eof:
+        raise DamagedArchive("the member does not end")
+    if head is None:
+        raise DamagedArchive("the head does not end")
+    after, size = at + read - len(inflate.unused_data), _length(head[0])
+    if not keep:
         return after, None
-    return after, (head[0], data[head[1] : head[1] + int(head[0].get("Content-Length", 0))])
+    return after, (head[0], _whole(data[head[1] : head[1] + size], size))
 
 
 def payload_of(fields: dict[str, str], block: bytes) -> bytes:
@@ -251,7 +297,10 @@ class WarcReader(DataSourceReader):
             size = int(fields.get("Content-Length", 0)) - len(block.partition(b"\r\n\r\n")[0]) - 4
         elif size < 0:
             payload = payload_of(fields, block)
-            size, declared = len(payload), hashlib.sha256(payload).hexdigest()
+            found = hashlib.sha256(payload).hexdigest()
+            if fields.get("WARC-Payload-Digest", "").startswith("sha256:") and declared != found and "WARC-Truncated" not in fields:
+                raise DamagedArchive(f"record {fields.get('WARC-Record-ID', 'without id')}: the payload's digest is not the declared one")
+            size, declared = len(payload), found
         named = [bare(fields.get(f)) for f in HEADER_COLUMNS.values()]
         return (*named, declared, size, list(fields.items()), payload if self.mode == "content" else None)
 

@@ -91,6 +91,52 @@ def test_archives_of_others(spark, tmp_path, zipped):
     assert bytes(table.filter("record_type = 'resource'").first().payload) == big
 
 
+def all_records(tmp_path, data):
+    path = tmp_path / "damaged.warc.gz"
+    path.write_bytes(data)
+    with open(path, "rb") as file:
+        return list(warc.records(file, len(data), lambda f: True))
+
+
+HEAD = b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: %s\r\n\r\n"
+BIG = os.urandom(20_000)
+WHOLE = HEAD % b"20000" + BIG + b"\r\n\r\n"
+DAMAGED = {
+    "plain, cut in the payload": WHOLE[:9000], "plain, cut in the head": WHOLE[:30], "plain, no number": HEAD % b"many" + b"x", "two bytes": b"\x1f\x8b",
+    "plain, negative": HEAD % b"-5" + b"x", "plain, no length": b"WARC/1.0\r\nWARC-Type: x\r\n\r\nabc",
+    "member, cut in the payload": warc.packed(WHOLE)[:9000], "member, cut in the head": warc.packed(WHOLE)[:20],
+    "member, no blank line": warc.packed(b"WARC/1.0\r\nWARC-Type: x\r\n"), "member, longer head without blank line": warc.packed(b"a: " + BIG.hex().encode()),
+    "member, shorter than declared": warc.packed(WHOLE[:15_000]), "member, no number": warc.packed(HEAD % b"1e3" + BIG),
+    "stream, cut in the payload": gzip.compress(WHOLE)[:9000], "stream, shorter than declared": gzip.compress(WHOLE[:15_000]),
+    "stream, no blank line": gzip.compress(b"WARC/1.0"), "stream, broken": gzip.compress(WHOLE)[:2000] + bytes(5000) + gzip.compress(WHOLE)[7000:],
+    "second record cut": warc.packed(WHOLE) + warc.packed(WHOLE)[:500],
+}
+
+
+@pytest.mark.parametrize("case", sorted(DAMAGED))
+def test_damage_is_an_error_and_every_read_ends(tmp_path, case):
+    with pytest.raises(warc.DamagedArchive, match="record at byte"):
+        all_records(tmp_path, DAMAGED[case])
+
+
+def test_what_is_whole_is_read(tmp_path):
+    for data in (WHOLE, warc.packed(WHOLE), gzip.compress(WHOLE), WHOLE[:-4], WHOLE + b"\r\n\r\n" * 3000):
+        assert [block for _, block in all_records(tmp_path, data)] == [BIG]
+    long = b"WARC/1.0\r\nX: " + b"x" * 50_000 + b"\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    for data in (long, warc.packed(long), gzip.compress(long)):
+        assert [block for _, block in all_records(tmp_path, data)] == [b"abc"]
+    assert all_records(tmp_path, b"") == all_records(tmp_path, b"\r\n\r\n") == []
+
+
+def test_a_digest_that_does_not_fit_fails_the_read(spark, tmp_path):
+    row = {"record_type": "response", "record_id": "r", "target_uri": None, "payload_digest": hashlib.sha256(b"abc").hexdigest(), "payload": b"abc"}
+    (tmp_path / "x.warc.gz").write_bytes(warc.packed(warc.record_bytes(row)))
+    assert warc.load(spark, f"file://{tmp_path}").first().payload == b"abc"
+    (tmp_path / "x.warc.gz").write_bytes(warc.packed(warc.record_bytes(row | {"payload": b"abd"})))
+    with pytest.raises(Exception, match="digest is not the declared one"):
+        warc.load(spark, f"file://{tmp_path}").collect()
+
+
 def test_empty(spark, tmp_path):
     folder = warc.archive(pages(spark, []), f"file://{tmp_path}/none")
     assert warc.page_summary(spark, folder).collect() == []
