@@ -77,7 +77,10 @@ def model_columns(model: PipelineModel) -> list[str]:
 
 
 def feature_importance(model: PipelineModel, spark) -> DataFrame:
-    """``feature, importance``, most important first. One row per feature column."""
+    """``feature, importance``, most important first, one row per feature column.
+
+    Shares of the trees' gain: they add up to 1, or are all 0 where no tree has split.
+    """
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(c, float(w)) for c, w in zip(model_columns(model), weights)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(

@@ -47,6 +47,12 @@ def test_classifier_importance(spark, data):
     assert rows[0].feature == "a" and {r.feature for r in rows} == {"a", "b", "c"}
 
 
+def test_importance_without_any_split_is_zero(spark, data):
+    _, train = data
+    model = quality_model.train_classifier(train.limit(30).withColumn("a", F.lit(1.0)).withColumn("b", F.lit(1.0)).withColumn("c", F.lit(1.0)), 2)
+    assert [r.importance for r in quality_model.feature_importance(model, spark).collect()] == [0.0] * 3
+
+
 def blobs(spark, centres, n=60, spread=0.05):
     rng = np.random.default_rng(6)
     rows = [
