@@ -149,12 +149,14 @@ class RepeatGraph:
         )
         self.held = self._held(texts, one)
         occurrences = saved(_edges(self.held, window), "edges")
-        repeated = occurrences.groupBy("edge", "proof").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n")
+        # what is counted is written before it is joined: both sides are bare exchanges then, which AQE splits
+        repeated = saved(occurrences.groupBy("edge", "proof").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n"), "repeated")
         hits = occurrences.join(repeated, ["edge", "proof"])
         runs = saved(
             hits.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("place", "edge"))).alias("run")), "runs"
         )
         dropped(occurrences)
+        dropped(repeated)
         self.spans = saved(self._compacted(runs), "spans")
         dropped(runs)
 
@@ -162,11 +164,13 @@ class RepeatGraph:
         first = F.expr("a = _a AND b = _b AND doc_id <=> first")
         key = one.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "first", "copies")
         mine = self.documents.join(key, first).select("a", "b", "copies", F.explode("anchors").alias("anchor"))
-        again = mine.groupBy("anchor").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n")
+        again = saved(mine.groupBy("anchor").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n"), "again")
         wanted = mine.join(again, "anchor").groupBy("a", "b", "copies").agg(F.collect_set("anchor").alias("wanted"))
         wanted = wanted.withColumnsRenamed({"a": "_a", "b": "_b"}).join(key.drop("copies"), ["_a", "_b"])
         held = texts.join(wanted, first).select("a", "b", "copies", "wanted", "text")
-        return saved(held.withColumn("row", F.monotonically_increasing_id()), "held")
+        held = saved(held.withColumn("row", F.monotonically_increasing_id()), "held")
+        dropped(again)
+        return held
 
     def _compacted(self, runs: DataFrame) -> DataFrame:
         """Runs of repeated edges cut where the graph branches.
