@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import hash_hex as hex_of
 from gleanwell.functions.scalars import quality_category
-from gleanwell.operators import clusters, labeling, quality_model, vectors
+from gleanwell.operators import clusters, density, labeling, quality_model, vectors
 from gleanwell.operators.features import FEATURES
 from gleanwell.session import materialized, scratch_folder
 from gleanwell.sources import sinks, tables
@@ -503,3 +503,56 @@ def choose_k(fx: Fixtures):
 )
 def vector_spread(fx: Fixtures):
     return rounded(vectors.vector_spread(fx.table("embeddings")))
+
+
+REACH = f"""rows AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+apart AS (SELECT a.vec_id, list_distance(a.x, b.x) AS d FROM rows a JOIN rows b ON a.vec_id <> b.vec_id),
+cores AS (SELECT vec_id, d AS core FROM apart QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d) = {density.SAMPLES})"""
+
+
+def embedding_points(fx: Fixtures):
+    return density.Points(fx.table("embeddings"), "vec_id", "embedding")
+
+
+@query(f"WITH {REACH} SELECT vec_id, round(core, 5) AS core FROM cores")
+def core_distances(fx: Fixtures):
+    """Every embedding's distance to its tenth neighbour, found by blocks and bounds."""
+    points = embedding_points(fx)
+    cores = density.core_distances(points).select("block", F.posexplode("core").alias("at", "core"))
+    of_point = cores.select(density.point_id(F.col("block"), F.col("at")).alias("id"), F.round("core", 5).alias("core"))
+    ids = points.numbered().join(of_point, "id")
+    return points.rows.join(ids, "x").select(F.col("key").alias("vec_id"), "core")
+
+
+@query(
+    f"""WITH RECURSIVE {REACH},
+    points AS (SELECT min(vec_id) AS id, any_value(core) AS core, x FROM rows JOIN cores USING (vec_id) GROUP BY x),
+    edges AS MATERIALIZED (SELECT a.id AS u, b.id AS v, greatest(list_distance(a.x, b.x), a.core, b.core) AS w
+      FROM points a JOIN points b ON a.id <> b.id),
+    growing AS (
+      SELECT 0 AS step, v AS id, w FROM edges WHERE u = (SELECT min(id) FROM points)
+      UNION ALL
+      SELECT step + 1, g.id, least(g.w, e.w) FROM growing g, (SELECT arg_min(id, w) AS taken FROM growing) t, edges e
+      WHERE e.u = taken AND e.v = g.id)
+    SELECT round(w, 5) AS weight, count(*) AS edges FROM (SELECT min(w) AS w FROM growing GROUP BY step) GROUP BY 1"""
+)
+def spanning_tree(fx: Fixtures):
+    """The weights of a lightest tree of mutual reachability; DuckDB grows one point by point."""
+    points = embedding_points(fx)
+    tree = density.spanning_tree(points, density.core_distances(points))
+    return tree.groupBy(F.round("w", 5).alias("weight")).agg(F.count(F.lit(1)).alias("edges"))
+
+
+@query(with_views("clustered") + "SELECT count(*) AS posts, 0 AS too_small, true AS largest_first, true AS k_within FROM clustered")
+def density_guide(fx: Fixtures):
+    """Density clusters of the reduced posts and the k they suggest; labels are held against brute force in the tests."""
+    df, _ = reduced(fx)
+    labels = materialized(density.density_clusters(df, "Hash"))
+    k = density.number_of_topics(labels)
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.filter(F.col("label") >= 0)
+    before = F.lag("n").over(Window.orderBy("label"))  # one row per cluster
+    rises = found.select((F.col("n") > before).alias("rises")).agg(F.coalesce(F.max("rises"), F.lit(False))).scalar()
+    return sizes.agg(
+        F.sum("n").alias("posts"), F.count_if((F.col("label") >= 0) & (F.col("n") < density.CLUSTER_SIZE)).cast("int").alias("too_small"),
+    ).select("posts", "too_small", (~rises).alias("largest_first"), F.lit(density.LEAST_K <= k <= density.MOST_K).alias("k_within"))
