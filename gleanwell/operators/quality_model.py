@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanwell.functions.scalars import clip, is_quality_user, quality_category
+from gleanwell.operators import boosting
+from gleanwell.operators.boosting import LeafwiseModel
 from gleanwell.operators.ranking import exact_quantiles
 from gleanwell.operators.sampling import SEED, stratified_split
 
-# Settings of both models, and the columns that are no features.
-ROUNDS, LEARNING_RATE, FEATURE_SHARE = 100, 0.05, "0.9"
-DEPTH, LEAST_PER_LEAF = 5, 20
+# Trees of both models at most, and the columns that are no features.
+ROUNDS = 100
 NOT_FEATURES = [
     "fid", "quality_score", "category", "reasoning", "content_themes", "is_quality", "quality_class",
 ]
@@ -47,22 +46,16 @@ def _fit(data: DataFrame, estimator, columns: list[str]) -> PipelineModel:
     return Pipeline(stages=[assembler, estimator]).fit(with_all_features(data, columns))
 
 
-def _settings(label: str, rounds: int) -> dict:
-    """Boosting stops early on the marked rows, which also serve for the report."""
-    return dict(
-        labelCol=label, featuresCol="features", maxIter=rounds, stepSize=LEARNING_RATE,
-        maxDepth=DEPTH, minInstancesPerNode=LEAST_PER_LEAF, featureSubsetStrategy=FEATURE_SHARE,
-        validationIndicatorCol=SPLIT_MARK, seed=SEED,
-    )
-
+def train_classifier(data: DataFrame, rounds: int = ROUNDS) -> LeafwiseModel:
+    """Quality or not. ``data`` comes from ``training_data``.
 
-def train_classifier(data: DataFrame, rounds: int = ROUNDS) -> PipelineModel:
-    """Quality or not. ``data`` comes from ``training_data``."""
-    return _fit(data, GBTClassifier(**_settings("is_quality", rounds)), feature_columns(data))
+    Boosting stops early on the marked rows, which also serve for the report.
+    """
+    return boosting.fit(data, feature_columns(data), "is_quality", boosting.LOGISTIC, SPLIT_MARK, rounds, seed=SEED)
 
 
-def train_regressor(data: DataFrame, rounds: int = ROUNDS) -> PipelineModel:
-    return _fit(data, GBTRegressor(**_settings("quality_score", rounds)), feature_columns(data))
+def train_regressor(data: DataFrame, rounds: int = ROUNDS) -> LeafwiseModel:
+    return boosting.fit(data, feature_columns(data), "quality_score", boosting.SQUARED, SPLIT_MARK, rounds, seed=SEED)
 
 
 def fit_scaler(data: DataFrame) -> PipelineModel:
@@ -72,25 +65,20 @@ def fit_scaler(data: DataFrame) -> PipelineModel:
     return _fit(train, scaler, feature_columns(data))
 
 
-def model_columns(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].getInputCols())
-
-
-def feature_importance(model: PipelineModel, spark) -> DataFrame:
+def feature_importance(model: LeafwiseModel, spark) -> DataFrame:
     """``feature, importance``, most important first, one row per feature column.
 
     Shares of the trees' gain: they add up to 1, or are all 0 where no tree has split.
     """
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(c, float(w)) for c, w in zip(model_columns(model), weights)]
+    rows = [(c, float(w)) for c, w in zip(model.columns, model.importance())]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.col("importance").desc(), F.col("feature").asc()
     )
 
 
-def score_users(features: DataFrame, model: PipelineModel) -> DataFrame:
+def score_users(features: DataFrame, model: LeafwiseModel) -> DataFrame:
     """Scores of all authors: predicted, held within 0 to 10, flagged and binned."""
-    predicted = model.transform(with_all_features(features, model_columns(model)))
+    predicted = model.transform(with_all_features(features, model.columns))
     score = clip(F.col("prediction"), 0.0, 10.0)
     return predicted.select("fid", score.alias("quality_score")).withColumns(
         {
@@ -163,10 +151,17 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.agg(F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"))
 
 
-def save_models(models: dict[str, PipelineModel], path: str) -> None:
+def save_models(models: dict[str, LeafwiseModel | PipelineModel], path: str) -> None:
     for name, model in models.items():
-        model.write().overwrite().save(f"{path}/{name}")
+        if isinstance(model, LeafwiseModel):
+            model.save(f"{path}/{name}", SparkSession.getActiveSession())
+        else:
+            model.write().overwrite().save(f"{path}/{name}")
+
+
+def load_model(path: str, name: str) -> LeafwiseModel:
+    return LeafwiseModel.load(f"{path}/{name}", SparkSession.getActiveSession())
 
 
-def load_model(path: str, name: str) -> PipelineModel:
+def load_scaler(path: str, name: str = "scaler") -> PipelineModel:
     return PipelineModel.load(f"{path}/{name}")

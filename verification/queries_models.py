@@ -319,12 +319,6 @@ def training(fx: Fixtures):
 # over all rows and return what must hold of any right result.
 
 
-def splits(model) -> bool:
-    """Whether any tree of a boosted model is more than a leaf."""
-    trees = model.stages[-1]
-    return trees.totalNumNodes > trees.getNumTrees
-
-
 @query("SELECT 0 AS class, true AS in_range, true AS adds_up, true AS beats_majority UNION ALL SELECT 1, true, true, true")
 def quality_classifier(fx: Fixtures):
     """Over the held-out rows; on the rows of the training no fewer are right than by the larger class alone."""
@@ -352,7 +346,7 @@ def quality_regression(fx: Fixtures):
     deviation = rated.filter("NOT is_test").agg(F.stddev_pop("quality_score")).scalar()
     return found.select(
         ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))).alias("ordered"), (F.col("rmse") < 5).alias("below_the_span"),
-        ((fitted < deviation - 1e-9) == F.lit(splits(model))).alias("beats_the_mean"),
+        ((fitted < deviation - 1e-9) == F.lit(model.splits())).alias("beats_the_mean"),
     )
 
 
@@ -364,7 +358,7 @@ def feature_importance(fx: Fixtures):
         F.count(F.lit(1)).cast("int").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
         F.collect_list("importance").alias("all"),
     )
-    total = F.lit(1.0 if splits(model) else 0.0)
+    total = F.lit(1.0 if model.splits() else 0.0)
     return found.select("features", (F.col("total") == total).alias("adds_up"), (F.col("all") == F.sort_array("all", asc=False)).alias("in_order"))
 
 
