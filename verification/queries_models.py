@@ -13,6 +13,7 @@ from gleanwell.functions.scalars import hash_hex as hex_of
 from gleanwell.functions.scalars import quality_category
 from gleanwell.operators import clusters, density, labeling, quality_model, vectors
 from gleanwell.operators.features import FEATURES
+from gleanwell.plans import restart
 from gleanwell.session import materialized, scratch_folder
 from gleanwell.sources import sinks, tables
 from verification.catalog import joined, query, rounded
@@ -550,3 +551,13 @@ def density_guide(fx: Fixtures):
     return sizes.agg(
         F.sum("n").alias("posts"), F.count_if((F.col("label") >= 0) & (F.col("n") < density.CLUSTER_SIZE)).cast("int").alias("too_small"),
     ).select("posts", "too_small", (~rises).alias("largest_first"), F.lit(density.LEAST_K <= k <= density.MOST_K).alias("k_within"))
+
+
+@query(with_views("clustered") + "SELECT Hash, length(Text) AS characters, 16 AS ranges FROM clustered")
+def stage_in_ranges(fx: Fixtures):
+    """A stage over all posts in restartable ranges; it is started twice, and the second run only reads."""
+    path = scratch_folder(fx.spark, "ranges")
+    work = lambda df: df.select("Hash", F.length("Text").alias("characters"))
+    for _ in range(2):
+        done = restart.run_in_ranges(fx.clustered(), "Hash", work, path, ranges=16)
+    return done.select("Hash", "characters", F.lit(len(restart.finished_ranges(fx.spark, path))).alias("ranges"))
