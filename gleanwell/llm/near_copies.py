@@ -11,15 +11,16 @@ A pair is checked on parity bits first: every shingle flips one bit of its text'
 in at least as many shingles as bits. That refuses most pairs for some bytes a text and no similar one.
 What passes is checked on the texts.
 
-What counts is which texts are connected. Proposals of SimHash come first, then each text is checked
-against one text of those with which it shares a shingle, which joins a large group in one step; then
-all pairs are met that are not connected yet.
+What counts is which texts are connected. Proposals of SimHash come first. Then, in turns, each text is
+checked against one drawn text per shingle that it shares, if that is not connected to it yet; so a large
+group is joined in a few turns without its pairs. When a turn hardly links any, all pairs are met that
+are still not connected; which turn is the last makes no difference to the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ SHINGLE = 5
 SIMILAR = (4, 5)  # Jaccard similarity from which texts are linked, as a fraction
 CELLS = 1 << 22  # counts that tell rare shingles from frequent ones
 SLICES = 64
+PAYS = 300  # a further turn is taken if one linked more than one text in so many,
+FEW = 1000  # and more than these
 SEED = 42
 
 
@@ -75,31 +78,39 @@ def set_keys(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def cell_counts(texts: DataFrame) -> np.ndarray:
-    """How many texts hold a shingle of each cell; every task counts all cells, slices are summed."""
-    width, schema = CELLS // SLICES, "slice int, counts binary"
+    """How many texts hold a shingle of each cell; every task counts all cells, slices of them are summed.
+
+    Tasks pass on the cells that they met. The sums, ``CELLS`` numbers whatever the input, go to the driver.
+    """
+    width, schema = CELLS // SLICES, "slice int, cells binary, counts binary"
 
     def rows(slices: dict[int, np.ndarray]) -> pa.RecordBatch:
-        counts = [c.astype("<u4").tobytes() for c in slices.values()]
-        return pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array(counts, pa.binary())], ["slice", "counts"])
+        met = {i: np.flatnonzero(c) for i, c in slices.items()}
+        return pa.RecordBatch.from_arrays([
+            pa.array(list(met), pa.int32()), pa.array([m.astype("<u4").tobytes() for m in met.values()], pa.binary()),
+            pa.array([slices[i][m].astype("<u4").tobytes() for i, m in met.items()], pa.binary()),
+        ], ["slice", "cells", "counts"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, dtype=np.int64)
         for batch in parts(batches):
             found = [shingle_hashes(t) for t in texts_of(batch, "text")]
             np.add.at(cells, (np.concatenate(found) % CELLS).astype(np.int64), 1)
-        yield rows({i: cells[i * width : (i + 1) * width] for i in range(SLICES)})
+        yield rows({i: c for i in range(SLICES) if (c := cells[i * width : (i + 1) * width]).any()})
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for i, counts in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                sums[i] = sums.get(i, 0) + np.frombuffer(counts, dtype="<u4").astype(np.int64)
+            for i, met, counts in zip(*(batch.column(c).to_pylist() for c in ("slice", "cells", "counts"))):
+                held = sums.setdefault(i, np.zeros(width, dtype=np.int64))
+                held[np.frombuffer(met, dtype="<u4")] += np.frombuffer(counts, dtype="<u4")
         yield rows(sums)
 
-    cells = np.zeros(CELLS, dtype=np.int64)
-    for row in texts.select("text").mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(total, schema).toLocalIterator():
-        cells[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["counts"], dtype="<u4")
-    return cells.astype(np.uint32)
+    cells = np.zeros(CELLS, dtype=np.uint32)
+    for row in texts.select("text").mapInArrow(tally, schema).repartition(SLICES, "slice").mapInArrow(total, schema).collect():
+        at = row["slice"] * width + np.frombuffer(row["cells"], dtype="<u4")
+        cells[at] = np.frombuffer(row["counts"], dtype="<u4")
+    return cells
 
 
 def prefixes(texts: DataFrame) -> DataFrame:
@@ -226,57 +237,81 @@ def same_prints(nodes: DataFrame) -> DataFrame:
 
 
 def shared_prefixes(texts: DataFrame) -> DataFrame:
-    """Prefix rows of shingles that several texts have in their prefix, each with the smallest such node; saved.
+    """Prefix rows of shingles that several texts have in their prefix; saved.
 
     Counts are written before they are joined, so that both sides are bare exchanges and a frequent
     shingle is split.
     """
     rows = saved(prefixes(texts), "prefixes")
-    counted = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("node").alias("lead"))
-    several = saved(counted.filter("texts > 1").drop("texts"), "several")
+    several = saved(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").drop("texts"), "several")
     table = saved(rows.join(several, "shingle"), "shared")
     dropped(rows)
     dropped(several)
     return table
 
 
-def rooted(table: DataFrame, near: DataFrame, node: str, root: str) -> DataFrame:
-    """Adds the component of a node column under the links found so far; an unlinked node is its own."""
-    return table.join(near.select(F.col("node").alias(node), F.col("root").alias(root)), node, "left").withColumn(root, F.coalesce(root, node))
+def rooted(table: DataFrame, roots: DataFrame) -> DataFrame:
+    """Adds each node's component under the links found so far; an unlinked node is its own. Saved."""
+    return saved(table.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+
+
+def joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, root) of the components with further links (a, b); both saved tables are dropped."""
+    merged = contracted(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    dropped(roots)
+    dropped(more)
+    return merged
+
+
+def met_leads(placed: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b), a text and the one text that this turn draws for a shared shingle, of two components; and the draw.
+
+    The first draw goes by the node, so that the shingles of a group mostly draw one text. Later draws go
+    by the shingle too, so that a text left over meets many others in a turn. Pairs are no more than rows.
+    """
+    drawn = F.xxhash64("node", "shingle", F.lit(turn)) if turn else F.xxhash64("node")
+    draw = F.min(F.struct(drawn.alias("draw"), "node", "root")).alias("lead")
+    leads = placed.groupBy("shingle").agg(draw).select("shingle", F.col("lead.node").alias("lead"), F.col("lead.root").alias("_root"))
+    leads = saved(leads, "leads")
+    return placed.join(leads, "shingle").filter("root <> _root").select(*ordered("node", "lead")), leads
 
 
 def links(texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of similar texts that connect all that are connected by similar texts.
+    """Pairs (a, b) that connect exactly the texts that are connected by similar texts, one or so per text.
 
     texts: node and text, one row per different set of shingles.
     """
     nodes = described(texts)
     near = confirmed(likely(same_prints(nodes), nodes), texts)
-    table = shared_prefixes(texts)
     roots = contracted(near)
-    stars = table.filter("node <> lead").select("node", "lead").distinct()
-    stars = rooted(rooted(stars, roots, "node", "_r"), roots, "lead", "_s").filter("_r <> _s")
-    passed = likely(stars.select(*ordered("node", "lead")), nodes)
-    one = saved(passed.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one")
-    dropped(passed)
-    near = saved(near.unionByName(confirmed(one, texts)), "near")
-    dropped(roots)
-    roots = contracted(near)
-    whole = saved(rooted(table.drop("lead"), roots, "node", "root"), "rooted")
+    dropped(near)
+    table = shared_prefixes(texts)
+    total = texts.count()
+    for turn in count():
+        placed = rooted(table, roots)
+        pairs, leads = met_leads(placed, turn)
+        passed = likely(pairs, nodes)
+        dropped(leads)
+        found = confirmed(passed, texts)
+        paid = found.count() > max(FEW, total // PAYS)
+        roots = joined(roots, found)
+        dropped(placed)
+        if not paid:
+            break
+    placed = rooted(table, roots)
     dropped(table)
-    dropped(roots)
     # the smaller set of a pair shares more of its own, so its prefix is shorter: n - 2s/(1+s) n + 1
     part, of = SIMILAR
-    less = whole.filter(F.col("k").cast("long") * (part + of) <= F.col("n").cast("long") * (of - part))
+    less = placed.filter(F.col("k").cast("long") * (part + of) <= F.col("n").cast("long") * (of - part))
     less = less.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "k", "root")])
-    rest = less.hint("merge").join(whole.hint("merge"), "shingle").filter(
+    rest = less.hint("merge").join(placed.hint("merge"), "shingle").filter(
         (F.struct("_n", "_node") < F.struct("n", "node")) & (F.col("_root") != F.col("root"))
         & possible(F.col("_n"), F.col("_k"), F.col("n"), F.col("k"))
     )
     more = confirmed(likely(rest.select(*ordered("_node", "node")), nodes), texts)
-    dropped(whole)
+    dropped(placed)
     dropped(nodes)
-    return near.unionByName(more)
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
