@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gleanwell.functions.scalars import shorten, shuffled_by
 from gleanwell.operators.bounded import book
 from gleanwell.operators.ranking import top_per_group
+from gleanwell.session import materialized
 
 # How answers change weights, and the limits of a session and its results.
 LIKE_SAME, LIKE_OTHER = 1.5, 0.8
@@ -200,14 +201,8 @@ def next_post(
     )
 
 
-def recommended_posts(
-    weighted: DataFrame, clusters: DataFrame, keys: Sequence[str], n: int = RECOMMENDATIONS
-) -> DataFrame:
-    """Up to ``n`` posts per session from its heaviest clusters, at most three from each.
-
-    Rows: keys, ``position`` and the post with its cluster's id, theme and keywords. The best
-    three of each cluster are chosen once; sessions only put the clusters in order.
-    """
+def _best_posts(clusters: DataFrame) -> Column:
+    """Per cluster in base order its best three posts as ``best``."""
     listed = F.transform(
         "representatives",
         lambda p, i: F.struct(
@@ -217,18 +212,44 @@ def recommended_posts(
         ),
     )
     best = F.slice(_by(listed, lambda p: p["appeal"], lambda p: p["idx"]), 1, POSTS_PER_CLUSTER)
-    pages = pages_of(clusters, best.alias("best"))
+    return pages_of(clusters, best.alias("best"))
+
+
+def recommended_places(
+    weighted: DataFrame, clusters: DataFrame, keys: Sequence[str], n: int = RECOMMENDATIONS
+) -> DataFrame:
+    """One row per session with ``places``: which posts it gets, as numbers into ``_best_posts``."""
     heavy = _by(
         F.filter(
-            F.transform("_book", lambda c, i: F.struct(F.get("weights", i).alias("weight"), i.alias("place"), c.alias("c"))),
+            F.transform("_book", lambda c, i: F.struct(
+                F.get("weights", i).alias("weight"), i.alias("place"), F.when(c["best"].isNotNull(), F.size(c["best"])).alias("size"))),
             lambda x: x["weight"] >= RECOMMEND_FROM,
         ),
         lambda x: x["weight"], lambda x: x["place"],
     )
-    posts = F.slice(F.flatten(F.transform(heavy, lambda x: x["c"]["best"])), 1, n)
+    whole = F.sequence(F.lit(0), F.lit(POSTS_PER_CLUSTER - 1))
+    taken = F.transform(heavy, lambda x: F.when(x["size"].isNotNull(), F.transform(
+        F.filter(whole, lambda i: i < x["size"]), lambda i: F.struct(x["place"].alias("cluster"), i.alias("post")))))
+    return weighted.withColumn("_book", _best_posts(clusters)).select(*keys, F.slice(F.flatten(taken), 1, n).alias("places"))
+
+
+def _post_at(place: Column) -> Column:
+    return F.get(F.get("_book", place["cluster"])["best"], place["post"])
+
+
+def recommended_posts(
+    weighted: DataFrame, clusters: DataFrame, keys: Sequence[str], n: int = RECOMMENDATIONS
+) -> DataFrame:
+    """Up to ``n`` posts per session from its heaviest clusters, at most three from each.
+
+    Rows: keys, ``position`` and the post with its cluster's id, theme and keywords. The best
+    three of each cluster are chosen once; sessions only put the clusters in order.
+    """
+    placed = recommended_places(weighted, clusters, keys, n)
     return (
-        weighted.withColumn("_book", pages)
-        .select(*keys, F.posexplode(posts).alias("position", "p"))
+        placed.select(*keys, F.posexplode("places").alias("position", "place"))
+        .withColumn("_book", _best_posts(clusters))
+        .withColumn("p", _post_at(F.col("place")))
         .select(
             *keys, (F.col("position") + 1).alias("position"), "p.cluster_id", "p.cluster_theme",
             "p.cluster_keywords", "p.post.*",
@@ -307,17 +328,24 @@ def users_to_follow(
     """Authors to follow per session: points per liked appearance, halved per disliked one.
 
     Points add up and halvings multiply, so both are plain sums over appearances of an author
-    among the representatives of the clusters answered on.
+    among the representatives of the clusters answered on. Answers are dealt by session once;
+    the representatives meet them there, and texts are looked up for the authors that stay.
     """
-    posts = clusters.select(
+    listed = clusters.select(
         "cluster_id", "name", F.posexplode("representatives").alias("idx", "post")
     ).select(
         "cluster_id", "name", "idx", "post.fid", "post.author_quality",
         shorten(F.col("post.text"), SAMPLE_CHARS, ellipsis=False).alias("text"),
     )
-    seen = feedback.join(posts, "cluster_id")
+    # Numbers that sort as the texts do travel in their place; one row per representative.
+    texts = materialized(
+        listed.select("text").distinct().withColumn("place", F.row_number().over(Window.orderBy("text")))
+    )
+    posts = materialized(listed.join(texts, listed["text"].eqNullSafe(texts["text"])).drop("text"))
+    tasks = int(feedback.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = feedback.select(*keys, "seq", "cluster_id", "liked").repartition(tasks, *keys).join(posts, "cluster_id")
     liked = F.col("liked")
-    first = F.min(F.when(liked, F.struct("seq", "idx", "author_quality", "text")))
+    first = F.min(F.when(liked, F.struct("seq", "idx", "author_quality", "place")))
     authors = (
         seen.groupBy(*keys, "fid")
         .agg(
@@ -332,16 +360,22 @@ def users_to_follow(
     order = [
         F.round("score", 9).desc(), F.col("first.seq").asc(), F.col("first.idx").asc(),
     ]
-    return top_per_group(authors, keys, order, n, rank="rank").select(
+    best = top_per_group(authors, keys, order, n, rank="rank").withColumn("place", F.col("first.place"))
+    return best.join(texts, "place").select(
         *keys, "rank", "fid", "score", F.col("first.author_quality").alias("quality_score"),
-        "themes", F.col("first.text").alias("sample_post"),
+        "themes", F.col("text").alias("sample_post"),
     )
 
 
 def combined_output(
-    preferences: DataFrame, posts: DataFrame, users: DataFrame, keys: Sequence[str]
+    preferences: DataFrame, posts: DataFrame, users: DataFrame, keys: Sequence[str],
+    clusters: DataFrame | None = None,
 ) -> DataFrame:
-    """One nested row per session: preferences, recommendations and recommended users."""
+    """One nested row per session: preferences, recommendations and recommended users.
+
+    ``posts`` has the rows of ``recommended_posts``, or with ``clusters`` those of
+    ``recommended_places``: then no post is moved, and sessions with the same posts lie together.
+    """
     told = preferences.select(
         *keys, F.struct(*[c for c in preferences.columns if c not in keys]).alias("preferences")
     )
@@ -354,7 +388,18 @@ def combined_output(
             ).alias(name)
         )
 
-    return (
-        told.join(nested(posts, "position", "recommendations"), list(keys), "left")
-        .join(nested(users, "rank", "recommended_users"), list(keys), "left")
+    advised = nested(users, "rank", "recommended_users")
+    if clusters is None:
+        return told.join(nested(posts, "position", "recommendations"), list(keys), "left").join(advised, list(keys), "left")
+
+    def shown(place: Column) -> Column:
+        post = _post_at(place)
+        named = [post[c].alias(c) for c in ("cluster_id", "cluster_theme", "cluster_keywords")]
+        fields = clusters.schema["representatives"].dataType.elementType.names
+        return F.struct(*named, *[post["post"][c].alias(c) for c in fields])
+
+    got = posts.filter(F.size("places") > 0)
+    whole = told.join(got, list(keys), "left").join(advised, list(keys), "left").sortWithinPartitions("places")
+    return whole.withColumn("_book", _best_posts(clusters)).select(
+        *keys, "preferences", F.transform("places", shown).alias("recommendations"), "recommended_users"
     )

@@ -65,9 +65,10 @@ def recommend_all(
     weighted = recommend.cluster_weights(sessions, cluster_table)
     result = recommend.combined_output(
         recommend.preference_summary(feedback, cluster_table, keys),
-        recommend.recommended_posts(weighted, cluster_table, keys),
+        recommend.recommended_places(weighted, cluster_table, keys),
         recommend.users_to_follow(feedback, cluster_table, keys),
         keys,
+        cluster_table,
     )
     path = f"{out}/recommendations"
     sinks.write_json(result, path)

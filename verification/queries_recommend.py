@@ -228,9 +228,10 @@ def combined_output(fx: Fixtures):
     feedback = fx.feedback()
     nested = recommend.combined_output(
         recommend.preference_summary(feedback, table, KEYS),
-        recommend.recommended_posts(weighted, table, KEYS),
+        recommend.recommended_places(weighted, table, KEYS),
         recommend.users_to_follow(feedback, table, KEYS),
         KEYS,
+        table,
     )
     told = [joined(F.col(f"preferences.{c}").cast("array<string>"), ",").alias(c)
             for c in ("preferred_themes", "top_keywords", "liked_clusters", "disliked_clusters")]
