@@ -36,8 +36,8 @@ SHINGLE = 5
 SIMILAR = (4, 5)  # Jaccard similarity from which texts are linked, as a fraction
 CELLS = 1 << 22  # counts that tell rare shingles from frequent ones
 SLICES = 64
-PAYS = 300  # a further turn is taken if one linked more than one text in so many,
-FEW = 1000  # and more than these
+PAYS = 1000  # a further turn is taken if one linked more than one text in so many,
+FEW = 100  # and more than these
 SEED = 42
 
 
@@ -240,12 +240,11 @@ def shared_prefixes(texts: DataFrame) -> DataFrame:
     """Prefix rows of shingles that several texts have in their prefix; saved.
 
     Counts are written before they are joined, so that both sides are bare exchanges and a frequent
-    shingle is split.
+    shingle is split. Prefixes are read off the texts twice; written down they would lie beside their exchange.
     """
-    rows = saved(prefixes(texts), "prefixes")
+    rows = prefixes(texts)
     several = saved(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").drop("texts"), "several")
     table = saved(rows.join(several, "shingle"), "shared")
-    dropped(rows)
     dropped(several)
     return table
 
@@ -314,6 +313,11 @@ def links(texts: DataFrame) -> DataFrame:
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    """Adds ``_at``, null for no row, for _id and _key. Joined and grouped by it, wide rows are exchanged once."""
+    return rows.withColumn("_at", F.concat_ws(":", "_key", "_id"))
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents' own columns, for one row of each group of connected texts: that with the smallest id.
 
@@ -325,11 +329,10 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
     firsts = keys.groupBy("set_key").agg(first.alias("s")).select(F.col("s.doc_id").alias("_id"), F.col("s.text_key").alias("_key"))
     firsts = saved(firsts.withColumn("_node", F.monotonically_increasing_id()), "firsts")
-    same = "_id <=> _of AND _key = _with"
-    of = firsts.select(F.col("_id").alias("_of"), F.col("_key").alias("_with"), F.col("_node").alias("node"))
-    slim = docs.select(F.col(doc_id).cast("long").alias("_id"), text_key(text).alias("_key"), F.col(text).alias("text"))
-    texts = slim.join(of, F.expr(same)).select("node", "text").dropDuplicates(["node"])
-    texts = saved(texts, "different")
+    own = [F.col(doc_id).cast("long").alias("_id"), text_key(text).alias("_key")]
+    of = keyed(firsts).select("_at", F.col("_node").alias("node"))
+    texts = keyed(docs.select(*own, F.col(text).alias("text"))).join(of, "_at").dropDuplicates(["_at", "node"])
+    texts = saved(texts.select("node", "text"), "different")
     dropped(keys)
     found = saved(links(texts), "links")
     dropped(texts)
@@ -337,8 +340,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_key", "_node").alias("least")
     least = smallest_reachable(firsts.join(linked, "_node", "left_semi").select(F.col("_node").alias("node"), order), found, "node", "least")
     gone = least.filter(F.col("least._node") != F.col("node")).select(F.col("node").alias("_node"))
-    stay = saved(firsts.join(gone, "_node", "left_anti").select(F.col("_id").alias("_of"), F.col("_key").alias("_with")), "stay")
+    stay = saved(keyed(firsts.join(gone, "_node", "left_anti")).select("_at"), "stay")
     dropped(firsts)
     dropped(found)
-    keyed = docs.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("_id"), text_key(text).alias("_key"))
-    return keyed.join(stay, F.expr(same), "left_semi").dropDuplicates(["_id", "_key"]).select("_row.*")
+    return keyed(docs.select(F.struct("*").alias("_row"), *own)).join(stay, "_at", "left_semi").dropDuplicates(["_at"]).select("_row.*")

@@ -106,5 +106,37 @@ def test_stage_removes_a_copy_with_a_few_words_changed(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, table(spark, rows), "").collect()) == [0, 2]
 
 
+def test_a_group_of_some_hundred_near_copies_is_joined_in_turns(spark, monkeypatch):
+    rnd = random.Random(12)
+    words = lambda n: [f"w{rnd.randint(0, 10**6)}" for _ in range(n)]
+    base, texts = words(300), []
+    for i in range(400):  # texts of one edit are similar to all, texts of five only to those
+        text = list(base)
+        for at in rnd.sample(range(300), rnd.choice([1, 5, 5])):
+            text[at] = f"v{rnd.randint(0, 10**6)}"
+        texts.append((i, " ".join(text)))
+    met, likely = [], near_copies.likely
+
+    def counted(pairs, nodes):
+        met.append(pairs.count())
+        return likely(pairs, nodes)
+
+    monkeypatch.setattr(near_copies, "likely", counted)
+    near_copies.links(spark.createDataFrame(texts, "node long, text string")).count()
+    assert met[-1] < 4000, met  # of 79,800 pairs
+
+
+def test_rows_are_exchanged_once(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = near_copies.one_of_each(table(spark, [(1, "a b", "en", "s", 0), (1, "a b", "en", "s", 0), (None, "c", "en", "s", 0)]))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan  # the rows and the keys that stay
+        assert out.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_empty(spark):
     assert near_copies.one_of_each(table(spark, [])).collect() == []
