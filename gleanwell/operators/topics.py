@@ -69,13 +69,17 @@ NAME_MAX_CHARS = 40
 
 def grams_of(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
     """Words of two or more characters without stop words, followed by their adjacent pairs."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
     return F.transform(
-        F.array(F.filter(found, lambda w: ~w.isin(stop_words))),
+        F.array(single_words(text, stop_words)),
         lambda words: F.concat(words, _pairs(words)),
     )[0]
 
 
+def single_words(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
+    found = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
+    return F.filter(found, lambda w: ~w.isin(stop_words))
+
+
 def _pairs(words: Column) -> Column:
     n = F.greatest(F.size(words) - 1, F.lit(0))
     return F.zip_with(
@@ -83,17 +87,12 @@ def _pairs(words: Column) -> Column:
     )
 
 
-def vocabulary(
-    posts: DataFrame, stop_words: list[str] = STOP_WORDS, size: int = VOCABULARY,
-    min_documents: int = MIN_DOCUMENTS,
-) -> DataFrame:
-    """The most frequent terms of each cluster with their inverse document frequency.
+def _counted(grams: DataFrame, min_documents: int, words: DataFrame | None = None) -> DataFrame:
+    """Uses and documents of each term of ``grams``, one array per text; of pairs only those of ``words``.
 
-    Occurrences and documents of a term are counted in one pass: each text sends its terms once
-    as occurrences and once, without repeats, as documents. Sums combine before the shuffle on
-    (cluster, term), and each cluster's list is cut to size before the shuffle on the cluster.
+    Both are counted in one pass: each text sends its terms once as occurrences and once, without
+    repeats, as documents. Sums combine before the shuffle.
     """
-    grams = posts.select("cluster_id", grams_of(F.col("Text"), stop_words).alias("grams"))
     zero, one = F.lit(0), F.lit(1)
     marks = F.concat(
         F.transform("grams", lambda g: F.struct(g.alias("term"), one.alias("uses"), zero.alias("docs"))),
@@ -102,13 +101,37 @@ def vocabulary(
             lambda g: F.struct(g.alias("term"), zero.alias("uses"), one.alias("docs")),
         ),
     )
-    terms = (
-        grams.select("cluster_id", F.inline(marks))
-        .groupBy("cluster_id", "term")
+    terms = grams.select("cluster_id", F.inline(marks))
+    for end in (1, -1) if words is not None else ():
+        part = F.substring_index("term", " ", end)
+        terms = terms.withColumn("word", part).join(words, ["cluster_id", "word"], "left_semi")
+    return (
+        terms.groupBy("cluster_id", "term")
         .agg(F.sum("uses").alias("uses"), F.sum("docs").alias("docs"))
         .filter(F.col("docs") >= min_documents)
     )
-    kept = top_per_group(terms, ["cluster_id"], [F.col("uses").desc(), F.col("term").asc()], size)
+
+
+def vocabulary(
+    posts: DataFrame, stop_words: list[str] = STOP_WORDS, size: int = VOCABULARY,
+    min_documents: int = MIN_DOCUMENTS,
+) -> DataFrame:
+    """The most frequent terms of each cluster with their inverse document frequency.
+
+    Words are counted first. A pair is used no more often than either of its words, so only pairs of
+    words that are as frequent as the last of a cluster's list of words can be in its list of terms, and no
+    others are counted. Each cluster's list is cut to size before the shuffle on the cluster.
+    """
+    words = posts.select("cluster_id", single_words(F.col("Text"), stop_words).alias("grams"))
+    singles = materialized(_counted(words, min_documents))
+    by_use = [F.col("uses").desc(), F.col("term").asc()]
+    listed = top_per_group(singles, ["cluster_id"], by_use, size, rank="place")
+    least = listed.groupBy("cluster_id").agg(F.min(F.when(F.col("place") == size, F.col("uses"))).alias("least"))
+    frequent = singles.join(least, "cluster_id").filter(F.col("uses") >= F.coalesce("least", F.lit(0)))
+    frequent = materialized(frequent.select("cluster_id", F.col("term").alias("word")))
+    pairs = words.withColumn("grams", F.transform(F.array("grams"), _pairs)[0])
+    terms = singles.unionByName(_counted(pairs, min_documents, frequent))
+    kept = top_per_group(terms, ["cluster_id"], by_use, size)
     sizes = posts.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
     idf = F.log((F.col("n") + 1) / (F.col("docs") + 1)) + 1
     return kept.join(sizes, "cluster_id").select("cluster_id", "term", idf.alias("idf"))

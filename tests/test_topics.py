@@ -115,3 +115,19 @@ def test_failing_namer_leaves_rule_names(spark):
         raise RuntimeError("no answer")
 
     assert topics.model_names(records, broken).first().model_name is None
+
+
+def test_only_pairs_of_frequent_words_are_counted(spark, monkeypatch):
+    text = " ".join(["alpha beta"] * 9 + [f"word{i}" for i in range(200)])
+    posts = spark.createDataFrame([(c, f"h{i}", text) for c in (1, 2) for i in range(3)] + [(3, "x", "one two"), (3, "y", "one two")],
+                                  "cluster_id int, Hash string, Text string")
+    ranked, top = [], topics.top_per_group
+
+    def counted(df, *args, **kwargs):
+        ranked.append(df.filter("term LIKE '% %'").count())
+        return top(df, *args, **kwargs)
+
+    monkeypatch.setattr(topics, "top_per_group", counted)
+    found = sorted((r.cluster_id, r.term) for r in topics.vocabulary(posts, size=3).collect())
+    assert found == [(c, t) for c in (1, 2) for t in ("alpha", "alpha beta", "beta")] + [(3, t) for t in ("one", "one two", "two")]
+    assert max(ranked) == 2 * 2 + 1, ranked  # "alpha beta", "beta alpha" and "one two"; not the pairs of rare words
