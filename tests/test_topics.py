@@ -128,6 +128,6 @@ def test_only_pairs_of_frequent_words_are_counted(spark, monkeypatch):
         return top(df, *args, **kwargs)
 
     monkeypatch.setattr(topics, "top_per_group", counted)
-    found = sorted((r.cluster_id, r.term) for r in topics.vocabulary(posts, size=3).collect())
-    assert found == [(c, t) for c in (1, 2) for t in ("alpha", "alpha beta", "beta")] + [(3, t) for t in ("one", "one two", "two")]
+    found = sorted((r.cluster_id, r.term) for r in topics.vocabulary(posts, size=2).collect())
+    assert found == [(c, t) for c in (1, 2) for t in ("alpha", "alpha beta")] + [(3, t) for t in ("one", "one two")]
     assert max(ranked) == 2 * 2 + 1, ranked  # "alpha beta", "beta alpha" and "one two"; not the pairs of rare words
