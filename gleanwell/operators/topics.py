@@ -69,10 +69,7 @@ NAME_MAX_CHARS = 40
 
 def grams_of(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
     """Words of two or more characters without stop words, followed by their adjacent pairs."""
-    return F.transform(
-        F.array(single_words(text, stop_words)),
-        lambda words: F.concat(words, _pairs(words)),
-    )[0]
+    return F.transform(F.array(single_words(text, stop_words)), _with_pairs)[0]
 
 
 def single_words(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
@@ -80,6 +77,20 @@ def single_words(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
     return F.filter(found, lambda w: ~w.isin(stop_words))
 
 
+def word_lists(posts: DataFrame, stop_words: list[str] = STOP_WORDS) -> DataFrame:
+    """The words of each text, ``cluster_id, Hash, words``, taken once for all steps that count them.
+
+    The texts are dealt out evenly first: where posts come from a join, those with a cluster may all lie
+    in a few tasks, which would then hold the terms of most texts in every later step.
+    """
+    texts = posts.select("cluster_id", "Hash", "Text").hint("rebalance")
+    return materialized(texts.select("cluster_id", "Hash", single_words(F.col("Text"), stop_words).alias("words")))
+
+
+def _with_pairs(words: Column) -> Column:
+    return F.concat(words, _pairs(words))
+
+
 def _pairs(words: Column) -> Column:
     n = F.greatest(F.size(words) - 1, F.lit(0))
     return F.zip_with(
@@ -116,13 +127,17 @@ def vocabulary(
     posts: DataFrame, stop_words: list[str] = STOP_WORDS, size: int = VOCABULARY,
     min_documents: int = MIN_DOCUMENTS,
 ) -> DataFrame:
+    return _vocabulary(word_lists(posts, stop_words), size, min_documents)
+
+
+def _vocabulary(lists: DataFrame, size: int = VOCABULARY, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """The most frequent terms of each cluster with their inverse document frequency.
 
     Words are counted first. A pair is used no more often than either of its words, so only pairs of
     words that are as frequent as the last of a cluster's list of words can be in its list of terms, and no
     others are counted. Each cluster's list is cut to size before the shuffle on the cluster.
     """
-    words = posts.select("cluster_id", single_words(F.col("Text"), stop_words).alias("grams"))
+    words = lists.select("cluster_id", F.col("words").alias("grams"))
     singles = materialized(_counted(words, min_documents))
     by_use = [F.col("uses").desc(), F.col("term").asc()]
     listed = top_per_group(singles, ["cluster_id"], by_use, size, rank="place")
@@ -132,7 +147,7 @@ def vocabulary(
     pairs = words.withColumn("grams", F.transform(F.array("grams"), _pairs)[0])
     terms = singles.unionByName(_counted(pairs, min_documents, frequent))
     kept = top_per_group(terms, ["cluster_id"], by_use, size)
-    sizes = posts.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = lists.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
     idf = F.log((F.col("n") + 1) / (F.col("docs") + 1)) + 1
     return kept.join(sizes, "cluster_id").select("cluster_id", "term", idf.alias("idf"))
 
@@ -140,14 +155,18 @@ def vocabulary(
 def tfidf_keywords(
     posts: DataFrame, terms: DataFrame, stop_words: list[str] = STOP_WORDS, keywords: int = KEYWORDS
 ) -> DataFrame:
+    return _tfidf_keywords(word_lists(posts, stop_words), terms, keywords)
+
+
+def _tfidf_keywords(lists: DataFrame, terms: DataFrame, keywords: int = KEYWORDS) -> DataFrame:
     """Per cluster the terms with the highest summed weight: ``cluster_id, rank, term, score``.
 
     ``terms`` comes from ``vocabulary`` and has at most 100 terms per cluster, so Spark copies it
     to the tasks while it is small, and only occurrences of these terms go on.
     """
     hits = (
-        posts.select(
-            "cluster_id", "Hash", F.explode(grams_of(F.col("Text"), stop_words)).alias("term")
+        lists.select(
+            "cluster_id", "Hash", F.explode(F.transform(F.array("words"), _with_pairs)[0]).alias("term")
         )
         .join(terms, ["cluster_id", "term"])
         .groupBy("cluster_id", "Hash", "term")
@@ -198,14 +217,17 @@ def cluster_keywords(posts: DataFrame, fallback_texts: int | None = None) -> Dat
 
     ``fallback_texts`` (``FALLBACK_TEXTS`` where time is short) counts that many of their best posts only.
     """
-    terms = materialized(vocabulary(posts))
-    weighted = tfidf_keywords(posts, terms)
+    lists = word_lists(posts)
+    terms = materialized(_vocabulary(lists))
+    weighted = _tfidf_keywords(lists, terms).select("cluster_id", "rank", "term", "score")
     covered = terms.select("cluster_id").distinct()
+    if lists.join(covered, "cluster_id", "left_anti").isEmpty():
+        return weighted  # the posts are not read again
     bare = posts.join(covered, "cluster_id", "left_anti")
     counts = counted_words(
         bare, STOP_WORDS, 3, KEYWORDS, fallback_texts, "cast_score", descending=True
     ).select("cluster_id", "rank", F.col("word").alias("term"), F.col("n").cast("double").alias("score"))
-    return weighted.select("cluster_id", "rank", "term", "score").unionByName(counts)
+    return weighted.unionByName(counts)
 
 
 def keyword_lists(keywords: DataFrame) -> DataFrame:

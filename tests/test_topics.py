@@ -131,3 +131,31 @@ def test_only_pairs_of_frequent_words_are_counted(spark, monkeypatch):
     found = sorted((r.cluster_id, r.term) for r in topics.vocabulary(posts, size=2).collect())
     assert found == [(c, t) for c in (1, 2) for t in ("alpha", "alpha beta")] + [(3, t) for t in ("one", "one two")]
     assert max(ranked) == 2 * 2 + 1, ranked  # "alpha beta", "beta alpha" and "one two"; not the pairs of rare words
+
+
+def test_texts_are_read_once_for_their_words_and_dealt_out_evenly(spark, monkeypatch):
+    read, saved, keep = spark.sparkContext.accumulator(0), [], topics.materialized
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def noted(df, *args):
+        saved.append(keep(df, *args))
+        return saved[-1]
+
+    rows = [(i % 2, f"h{i}", f"alpha beta word{i}", 1.0) for i in range(80)]
+    posts = spark.createDataFrame(rows, "cluster_id int, Hash string, Text string, cast_score double").coalesce(1)
+    monkeypatch.setattr(topics, "materialized", noted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = topics.cluster_keywords(posts.mapInArrow(counted, posts.schema)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r.cluster_id, r.term) for r in found} == {(c, t) for c in (0, 1) for t in ("alpha", "beta", "alpha beta")}
+    assert read.value == len(rows)
+    lists = [df for df in saved if "words" in df.columns]
+    assert len(lists) == 1 and lists[0].count() == len(rows)
+    per_file = lists[0].groupBy("_metadata.file_path").count().collect()
+    assert len(per_file) > 1 and max(r["count"] for r in per_file) <= len(rows) // 2
