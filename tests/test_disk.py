@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gleanwell.operators import engagement, features
+from gleanwell.operators import density, engagement, features
 from gleanwell.session import materialized
 
 
@@ -74,3 +75,55 @@ def test_engagement_in_rounds(told, monkeypatch, rows):
     monkeypatch.setattr(engagement, "ROUND_ROWS", rows)
     got = engagement.author_engagement(posts.select(F.col("Fid").alias("fid"), "Hash"), acts).collect()
     assert {r.fid: (r.unique_reactors, r.total_reactions) for r in got} == {f: (len(who - {None}), sum(n)) for f, (who, n) in want.items()}
+
+
+def test_any_number_of_vectors_is_laid_out(spark):
+    many = spark.range(200_001).select("id", F.array(F.col("id").cast("double")).alias("v"))
+    points = density.Points(many, "id", "v")
+    assert points.n == 200_001 and sum(r["n"] for r in points.blocks.select(F.size("w").alias("n")).collect()) == points.n
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    x = np.random.default_rng(4).normal(size=(600, 6)).round(2)
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<float>"), x
+
+
+def test_long_vectors_take_more_blocks(vectors, monkeypatch):
+    monkeypatch.setattr(density, "BLOCK", 1)
+    monkeypatch.setattr(density, "BLOCK_NUMBERS", 30)
+    assert len(density.Points(vectors[0], "id", "v", block=1).names) > 100
+
+
+def test_blocks_are_read_and_not_exchanged(vectors, monkeypatch):
+    plans, keep = [], density.materialized
+
+    def noted(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, *args)
+
+    points = density.Points(vectors[0], "id", "v", block=30)
+    monkeypatch.setattr(density, "materialized", noted)
+    cores = density.core_distances(points, 3)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    x = vectors[1].astype(np.float32).astype(float)
+    apart = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert sorted(c for r in cores.collect() for c in r["core"]) == pytest.approx(sorted(np.sort(apart, axis=1)[:, 3]), abs=1e-6)
+
+
+def test_a_large_component_leaves_itself_out(vectors):
+    """Two groups far apart and one point between: late rounds have a component of most points."""
+    x = np.concatenate([vectors[1][:150], vectors[1][150:200] + 40, [[20.0] * 6]])
+    rows = vectors[0].sparkSession.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    points = density.Points(rows, "id", "v", block=20)
+    cores = density.core_distances(points, 3)
+    apart = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2)), density.PLACES)
+    core = np.sort(apart, axis=1)[:, 3]
+    reach = np.maximum(apart, np.maximum.outer(core, core))
+    near, left, want = reach[0].copy(), set(range(1, len(x))), []
+    while left:
+        i = min(left, key=lambda r: near[r])
+        left.remove(i)
+        want.append(near[i])
+        near = np.minimum(near, reach[i])
+    assert sorted(r["w"] for r in density.spanning_tree(points, cores).collect()) == pytest.approx(sorted(want))
